@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinlattice.functions.text import canonical_id
-from kinlattice.llm import components, survivor
+from kinlattice.functions.text import blank_to_null, canonical, canonical_id
+from kinlattice.llm import addresses, components, survivor
 from kinlattice.runtime import table
 
 COMPLETENESS = ("address_line1", "city", "state", "zip", "npi", "owner_entity_id", "registry_status")
@@ -42,6 +42,20 @@ def p6_golden_records(spark: SparkSession, root: str) -> DataFrame:
     return built.join(chosen.withColumnRenamed("id", "survivor_id"), "group_id")
 
 
+def _located_staging(spark: SparkSession, root: str) -> DataFrame:
+    rows = table(spark, root, "staging_bacb_provider").select(canonical_id(F.col("id")).alias("id"), "raw_name", "npi", "address_line1", "city", "state", "zip")
+    return addresses.locate(rows, F.coalesce(blank_to_null(F.col("npi")), canonical(F.col("raw_name")), F.lit("")))
+
+
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    return addresses.location_pairs(_located_staging(spark, root)).select(F.col("a").alias("staging_id_a"), F.col("b").alias("staging_id_b"))
+
+
+def p5_premises(spark: SparkSession, root: str) -> DataFrame:
+    """The location of each staged row that has an address."""
+    return addresses.premises(_located_staging(spark, root))
+
+
 _MATCH = "lower(trim(verdict)) = 'match'"
 _GROUPS = f"""
 with recursive ids as (select distinct lower(trim(id)) as id from clinic),
@@ -56,6 +70,8 @@ _FILLED = " + ".join(f"(coalesce(trim({c}), '') != '')::int" for c in COMPLETENE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p5_found": p5_found,
+    "p5_premises": p5_premises,
     "p6_found": p6_found,
     "p6_golden_records": p6_golden_records,
 }
