@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import blank_to_null, canonical, canonical_id
-from kinlattice.llm import addresses, components, survivor
+from kinlattice.llm import addresses, components, leaks, survivor
 from kinlattice.runtime import table
 
 COMPLETENESS = ("address_line1", "city", "state", "zip", "npi", "owner_entity_id", "registry_status")
@@ -56,6 +56,16 @@ def p5_premises(spark: SparkSession, root: str) -> DataFrame:
     return addresses.premises(_located_staging(spark, root))
 
 
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return leaks.leaks(table(spark, root, "documents"), table(spark, root, "eval_item")).select("doc_id", "item_id")
+
+
+def p7_leaked_items(spark: SparkSession, root: str) -> DataFrame:
+    """Per test item, in how many documents it leaked and how much of it at most."""
+    found = leaks.leaks(table(spark, root, "documents"), table(spark, root, "eval_item"))
+    return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("n_words").alias("most_words"))
+
+
 _MATCH = "lower(trim(verdict)) = 'match'"
 _GROUPS = f"""
 with recursive ids as (select distinct lower(trim(id)) as id from clinic),
@@ -74,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_premises": p5_premises,
     "p6_found": p6_found,
     "p6_golden_records": p6_golden_records,
+    "p7_found": p7_found,
+    "p7_leaked_items": p7_leaked_items,
 }
 
 ORACLE: dict[str, str] = {
