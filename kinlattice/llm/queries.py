@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import blank_to_null, canonical, canonical_id
-from kinlattice.llm import addresses, components, leaks, survivor
+from kinlattice.llm import addresses, components, leaks, linkage, survivor
 from kinlattice.runtime import table
 
 COMPLETENESS = ("address_line1", "city", "state", "zip", "npi", "owner_entity_id", "registry_status")
@@ -42,6 +42,18 @@ def p6_golden_records(spark: SparkSession, root: str) -> DataFrame:
     return built.join(chosen.withColumnRenamed("id", "survivor_id"), "group_id")
 
 
+def p4_confidences(spark: SparkSession, root: str) -> DataFrame:
+    """Every staged row and center at one location, with the confidence that they are one operator."""
+    address = ("address_line1", "city", "state", "zip")
+    staged = table(spark, root, "staging_bacb_provider").select(canonical_id(F.col("id")).alias("id"), F.col("raw_name").alias("name"), "npi", *address)
+    centers = table(spark, root, "roster_center").select(canonical_id(F.col("center_id")).alias("id"), F.col("owner_name").alias("name"), *address)
+    return linkage.link(staged, centers, table(spark, root, "owner_entity").select("name", "trade_name"))
+
+
+def p4_found(spark: SparkSession, root: str) -> DataFrame:
+    return p4_confidences(spark, root).where("confidence >= 0.5").select("staging_id", "center_id")
+
+
 def _located_staging(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "staging_bacb_provider").select(canonical_id(F.col("id")).alias("id"), "raw_name", "npi", "address_line1", "city", "state", "zip")
     return addresses.locate(rows, F.coalesce(blank_to_null(F.col("npi")), canonical(F.col("raw_name")), F.lit("")))
@@ -80,6 +92,8 @@ _FILLED = " + ".join(f"(coalesce(trim({c}), '') != '')::int" for c in COMPLETENE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p4_found": p4_found,
+    "p4_confidences": p4_confidences,
     "p5_found": p5_found,
     "p5_premises": p5_premises,
     "p6_found": p6_found,
