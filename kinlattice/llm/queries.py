@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import blank_to_null, canonical, canonical_id
-from kinlattice.llm import addresses, components, leaks, linkage, survivor
+from kinlattice.llm import addresses, components, leaks, linkage, subjects, survivor
 from kinlattice.runtime import table
 
 COMPLETENESS = ("address_line1", "city", "state", "zip", "npi", "owner_entity_id", "registry_status")
@@ -78,6 +78,19 @@ def p7_leaked_items(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("n_words").alias("most_words"))
 
 
+def _subjects(spark: SparkSession, root: str) -> DataFrame:
+    return subjects.subjects(table(spark, root, "documents"), table(spark, root, "subject_seed"), table(spark, root, "subject_area"))
+
+
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    return _subjects(spark, root).select("doc_id", "subject")
+
+
+def p9_composition(spark: SparkSession, root: str) -> DataFrame:
+    """The corpus by subject: documents and sentences."""
+    return _subjects(spark, root).groupBy("subject").agg(F.count("*").alias("n_documents"), F.sum("n_sentences").alias("n_sentences"))
+
+
 _MATCH = "lower(trim(verdict)) = 'match'"
 _GROUPS = f"""
 with recursive ids as (select distinct lower(trim(id)) as id from clinic),
@@ -100,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_golden_records": p6_golden_records,
     "p7_found": p7_found,
     "p7_leaked_items": p7_leaked_items,
+    "p9_found": p9_found,
+    "p9_composition": p9_composition,
 }
 
 ORACLE: dict[str, str] = {
