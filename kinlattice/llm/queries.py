@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import blank_to_null, canonical, canonical_id
-from kinlattice.llm import addresses, components, leaks, linkage, subjects, survivor
+from kinlattice.llm import addresses, components, leaks, linkage, mixture, subjects, survivor
 from kinlattice.runtime import table
 
 COMPLETENESS = ("address_line1", "city", "state", "zip", "npi", "owner_entity_id", "registry_status")
@@ -78,6 +79,25 @@ def p7_leaked_items(spark: SparkSession, root: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("n_documents"), F.max("n_words").alias("most_words"))
 
 
+#: Folder of the public tokenizers' vocabularies; never copied into the repository.
+TOKENIZERS = os.environ.get("TOKENIZERS", "/opt/tokenizers")
+
+
+def _mixture(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, root, "documents").select("doc_id", "source", "text")
+    return mixture.mix(mixture.count_tokens(docs, f"{TOKENIZERS}/byte_bpe_50k.json"), table(spark, root, "mix_target"))
+
+
+def p8_mixture(spark: SparkSession, root: str) -> DataFrame:
+    """Each document of the mixture and how often it is used."""
+    return _mixture(spark, root)[0]
+
+
+def p8_shares(spark: SparkSession, root: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return _mixture(spark, root)[1]
+
+
 def _subjects(spark: SparkSession, root: str) -> DataFrame:
     return subjects.subjects(table(spark, root, "documents"), table(spark, root, "subject_seed"), table(spark, root, "subject_area"))
 
@@ -113,6 +133,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p6_golden_records": p6_golden_records,
     "p7_found": p7_found,
     "p7_leaked_items": p7_leaked_items,
+    "p8_mixture": p8_mixture,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
     "p9_composition": p9_composition,
 }

@@ -25,7 +25,7 @@ FUNCTION_WORDS = {
     "es": "el la los las de que un una por con del se lo su para antes",
 }
 #: Terms of a language's space: the most widespread ones that are in at least MIN_DF documents and in at most MAX_SHARE of them.
-TERMS, MIN_DF, MAX_SHARE = 4096, 5, 0.12
+TERMS, MIN_DF, MAX_SHARE = 4096, 5, 0.3
 DIMENSIONS, POWER_ROUNDS, REFINEMENTS, BINS = 64, 2, 2, 200
 #: Documents per block of the matrix products, so that a worker's memory does not follow its input.
 BLOCK, SLOTS = 2000, 8
