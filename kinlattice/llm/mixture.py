@@ -37,7 +37,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFra
     ``tokenizer`` is the path of a ``tokenizer.json`` that every executor can read; null
     and empty texts have no tokens.
     """
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c not in (text, "n_tokens")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tok = _tokenizer(tokenizer)
