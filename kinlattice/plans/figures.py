@@ -16,8 +16,11 @@ AS_OF, SEED, LEAST_SITES = "2025-10-01", 42, 3
 
 
 def _universe(spark, root) -> DataFrame:
-    """Registry sites: stem, street, ZIP and state."""
-    reg = table(spark, root, "registry_snapshot")
+    """Registry sites: stem, street, ZIP and state.
+
+    Deliveries repeat most rows; they are made distinct before any text is canonicalised.
+    """
+    reg = table(spark, root, "registry_snapshot").select("raw_name", "address_line1", "zip", "state").distinct()
     rows = reg.select(
         text.chain_stem(F.col("raw_name")).alias("stem"), address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5"),
         F.nullif(F.upper(F.substring(F.trim("state"), 1, 2)), F.lit("")).alias("state"),
