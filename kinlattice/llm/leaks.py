@@ -10,14 +10,17 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import unaccent
 from kinlattice.runtime import adaptive, stage
 
+if TYPE_CHECKING:
+    import pandas as pd  # loaded by the workers that need it; a driver has better use for the memory
+
 #: Positions that a mask picks, of the words after its start; the rest is ignored.
 MASKS = ((0, 1, 2, 3), (0, 1, 3, 4), (0, 2, 3, 5), (0, 1, 4, 6))
 #: Item seeds up to this number (16 bytes each) are broadcast; more meet the documents in a shuffled join.
@@ -85,6 +88,8 @@ def overlap(doc: list[int], item: list[int], gap: int = 1, least: int = 5, densi
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pandas as pd
+
     for b in batches:
         rows = []
         for doc_id, item_id, doc, item, first, last in zip(b["doc_id"], b["item_id"], b["doc"], b["item"], b["first"], b["last"]):

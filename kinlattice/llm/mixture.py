@@ -10,13 +10,16 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from functools import cache
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinlattice.runtime import adaptive, stage
 
+if TYPE_CHECKING:
+    import pandas as pd  # loaded by the workers that need it
+
 #: Documents per range of a source's key order; ranges are summed in parallel.
 RANGE_DOCS = 50_000
 
@@ -40,6 +43,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFra
     keep = [c for c in docs.columns if c not in (text, "n_tokens")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd
+
         tok = _tokenizer(tokenizer)
         for b in batches:
             texts = b[text].fillna("").tolist()

@@ -9,16 +9,19 @@ Terms, weights and decomposition are computed over all documents.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import unaccent
 from kinlattice.runtime import adaptive, stage
 
+if TYPE_CHECKING:
+    import pandas as pd
+    import pyarrow as pa
+
 #: Function words by which a text's language is told. Each language has its own space.
 FUNCTION_WORDS = {
     "en": "the and of to was for that with not are had been after about its",
@@ -55,6 +58,8 @@ def _encode(vocabulary: dict[str, dict[str, int]]) -> Callable[[Iterator[pa.Reco
     """Sentences as sorted distinct term numbers, flat, with their lengths and the number of all their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         for b in batches:
             flat, lengths = [], []
             for lang, doc in zip(b.column("lang").to_pylist(), b.column("sents").to_pylist()):
@@ -125,6 +130,8 @@ def _total(df: DataFrame, run: Callable) -> dict[tuple[str, str], np.ndarray]:
     """
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         sums: dict[tuple[str, str], np.ndarray] = {}
         for lang, name, x in run(batches):
             sums[lang, name] = sums[lang, name] + x if (lang, name) in sums else np.array(x, np.float64)
@@ -132,6 +139,8 @@ def _total(df: DataFrame, run: Callable) -> dict[tuple[str, str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([name]), pa.array([list(x.shape)], pa.list_(pa.int32())), pa.array([x.tobytes()], pa.binary())], ["lang", "name", "shape", "data"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        import pandas as pd
+
         total = sum(np.frombuffer(d, np.float64) for d in pdf["data"])
         return pd.DataFrame({"lang": pdf["lang"][:1], "name": pdf["name"][:1], "shape": pdf["shape"][:1], "data": [total.tobytes()]})
 
@@ -285,6 +294,8 @@ def subject_sentences(docs: DataFrame, seeds: DataFrame, areas: DataFrame, doc:
         centroid, cut = round_over(coded, centroid, cut)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
+
         for lang, b, _ in _blocks(batches, weight):
             _, best, cos = scored(b, lang, centroid)
             on = cos > cut[lang]
