@@ -95,3 +95,29 @@ def published(claims: DataFrame, log: DataFrame, claim: str = "id") -> DataFrame
     live = claims.where("superseded_by is null and size(source_record_ids) > 0")
     passed, held = (log.where(F.col("decision") == d).select(claim).distinct() for d in ("passed", "quarantined"))
     return live.join(passed, claim, "left_semi").join(held, claim, "left_anti")
+
+
+def quarantine(claims: DataFrame, taken: DataFrame, rule: str, log: DataFrame, claim: str = "id") -> DataFrame:
+    """COR-09, COR-14: decisions that quarantine the claims of ``taken``, those already quarantined left alone."""
+    held = log.where("decision = 'quarantined'").select(claim).distinct()
+    return claims.join(taken.select(claim).distinct(), claim, "left_semi").join(held, claim, "left_anti").select(claim, F.lit("quarantined").alias("decision"), F.lit(rule).alias("deciding_rule"), F.lit("unverified").alias("trust"))
+
+
+def resolve(queries: DataFrame, entities: DataFrame, scorer, k: int = 10, floor: float = 0.7, version: str = "1") -> DataFrame:
+    """ER-08 to ER-11: claims for the candidates that a scorer confirms.
+
+    ``queries``: query_id, embedding; ``entities``: entity_id, kind, embedding; ``scorer``
+    maps candidates (query_id, entity_id, similarity) to the same with link, confidence,
+    snippets and flags. Candidates below ``floor`` are never scored. The claim's type
+    follows the kind of the entity, and its id from both ends and the version.
+    """
+    from kinlattice.operators.vectors import top_k
+
+    candidates = top_k(queries, entities.select("entity_id", "embedding"), k, floor=floor)
+    yes = verified(scorer(candidates.select("query_id", "entity_id", "similarity"))).where("link")
+    kind = F.when(F.col("kind") == "owner", "clinic_to_owner").when(F.col("kind") == "parent", "owner_to_pe_firm")
+    typed = yes.join(entities.select("entity_id", "kind"), "entity_id").withColumn("claim_type", kind).where("claim_type is not null")
+    return typed.select(
+        F.sha2(F.concat_ws("|", "claim_type", F.col("query_id").cast("string"), F.col("entity_id").cast("string"), F.lit(version)), 256).alias("claim_id"),
+        "claim_type", "query_id", "entity_id", F.col("confidence").alias("confidence_score"), F.lit("llm_inferred").alias("confidence_method"), "flags", F.lit(version).alias("resolver_version"),
+    )

@@ -102,3 +102,15 @@ def running_first(rows: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """WIN-08: the first non-null ``value`` of a key in ``order``, with every row of it."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return rows.withColumn(name, F.first(value, ignorenulls=True).over(w))
+
+
+def known_and_new(listed: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """COR-12: ``listed`` with ``known``: whether a row of the same key is there already."""
+    there = rows.select(*keys).distinct().withColumn("known", F.lit(True))
+    return listed.join(there, list(keys), "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def ruled(rows: DataFrame, rules: Sequence[tuple[str, Column]]) -> DataFrame:
+    """COR-08: rows that a rule takes out, with the first rule that holds; null predicates do not hold."""
+    rule = F.coalesce(*[F.when(F.coalesce(p, F.lit(False)), F.lit(n)) for n, p in rules])
+    return rows.withColumn("rule", rule).where("rule is not null")

@@ -87,3 +87,11 @@ def lookup_or_area(rows: DataFrame, points: DataFrame, zip_: str = "zip5", digit
     area = points.groupBy(F.substring(zip_, 1, 3).alias("_z3")).agg(F.round(F.avg("lat"), digits).alias("_lat"), F.round(F.avg("lng"), digits).alias("_lng"))
     met = rows.join(points.select(zip_, "lat", "lng"), zip_, "left").join(area, F.substring(F.col(zip_), 1, 3) == F.col("_z3"), "left")
     return met.select(*rows.columns, F.coalesce("lat", "_lat").alias("lat"), F.coalesce("lng", "_lng").alias("lng"))
+
+
+def prefix_within(rows: DataFrame, held: DataFrame, equi: Sequence[str], typed: str, stored: str, least: int = 10) -> DataFrame:
+    """J-21, VAL-08: pairs of equal ``equi`` keys whose typed text begins with the stored one of at least ``least`` letters.
+
+    The prefix is a residual of an equi-join, so only rows of one key are compared.
+    """
+    return rows.join(held.where(F.length(stored) >= least), list(equi)).where(F.col(typed).startswith(F.col(stored)))

@@ -95,3 +95,15 @@ def grade(directory: Column, in_home: Column, updated: Column, as_of: Column) ->
     """MET-08, DAT-05: grade of a site by evidence and age; ``as_of`` instead of today."""
     years = F.datediff(as_of, updated) / F.lit(365.25)
     return F.when(directory, "owner_verified").when(in_home, "in_home").when(updated.isNull(), "registry_undated").when(years < 3, "registry_current").when(years < 6, "registry_aging").otherwise("registry_stale")
+
+
+def status_rollup(rows: DataFrame, status: str, in_scope: Sequence[str], size: str) -> DataFrame:
+    """AGG-22: rows by status, those in scope, and the size of what is in scope but not covered, in one aggregation."""
+    n = lambda *v: F.count_if(F.col(status).isin(*v))
+    covered = in_scope[0]
+    return rows.agg(F.count("*").alias("listed"), n(*in_scope).alias("in_scope"), *[n(s).alias(f"n_{s}") for s in in_scope], F.coalesce(F.sum(F.when(F.col(status).isin(*in_scope) & (F.col(status) != covered), F.col(size))), F.lit(0)).alias("uncovered_size"))
+
+
+def totals_where(rows: DataFrame, sure: Column, amounts: Sequence[str], names: str) -> DataFrame:
+    """AGG-23: totals of each amount over the rows that are sure, never of two amounts together, with the sorted names."""
+    return rows.where(F.coalesce(sure, F.lit(False))).agg(F.count("*").alias("n"), *[F.sum(a).alias(a) for a in amounts], F.sort_array(F.collect_set(names)).alias("names"))

@@ -38,3 +38,9 @@ def stratified(rows: DataFrame, stratum: Column, n: int, row: str, seed: int) ->
 def reservoir(rows: DataFrame, n: int, row: str, seed: int) -> DataFrame:
     """SMP-03: ``n`` rows, uniformly, in one pass; each task keeps its ``n`` least keys."""
     return rows.orderBy(draw_key(F.col(row), seed), row).limit(n)
+
+
+def two_level(rows: DataFrame, kind: Column, source: Column, n: int, row: str, seed: int) -> DataFrame:
+    """SMP-02: strata of two levels, in proportion, in a seeded order."""
+    both = F.concat_ws("|", F.coalesce(kind, F.lit("unknown")), F.coalesce(source, F.lit("unknown")))
+    return stratified(rows, both, n, row, seed).orderBy(draw_key(F.col(row), seed + 1), row)

@@ -29,3 +29,18 @@ def top_k(queries: DataFrame, entities: DataFrame, k: int, vector: str = "embedd
         scored = scored.where(F.col("similarity") >= floor)
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "entity_id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def embed(df: DataFrame, text: str, provider, vector: str = "embedding") -> DataFrame:
+    """ER-13: ``df`` with vectors of a provider (list of texts to list of vectors), asked once per batch; null text is ''."""
+    import pandas as pd
+
+    def run(texts):
+        return pd.Series(provider(texts.fillna("").tolist()))
+
+    return df.withColumn(vector, F.pandas_udf(run, "array<float>", F.PandasUDFType.SCALAR)(F.col(text)))
+
+
+def zero_provider(size: int):
+    """The stub: zero vectors, which have no direction and therefore no neighbours."""
+    return lambda texts: [[0.0] * size for _ in texts]

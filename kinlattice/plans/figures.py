@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinlattice.functions import address, text
-from kinlattice.operators import metrics, sampling, vectors
+from kinlattice.operators import dedup, joins, metrics, sampling, vectors
 from kinlattice.plans import resolution as r
 from kinlattice.runtime import table
 
@@ -204,6 +204,38 @@ def distinct_lines(spark, root):
     return li.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_distinct("l_orderkey", "l_linenumber").alias("n_distinct"))
 
 
+def listed_and_new(spark, root):
+    """COR-12: centers' own lists by whether a clinic at the building is there already."""
+    listed = r.keyed_roster(spark, root).where("street != ''")
+    return dedup.known_and_new(listed, r.keyed_clinics(spark, root), ["building", "zip5"]).groupBy("known").agg(F.count("*").alias("n"))
+
+
+def status_rollup(spark, root):
+    """AGG-22: registry rows by status."""
+    reg = table(spark, root, "registry_snapshot").select(F.lower(F.trim("registry_status")).alias("status"), F.length("raw_name").alias("size"))
+    return metrics.status_rollup(reg, "status", ["a", "s"], "size")
+
+
+def typed_prefixes(spark, root):
+    """J-21, VAL-08: clinics whose street key begins with one that a center of the same ZIP lists."""
+    rows = r.keyed_clinics(spark, root).select("id", "street", "zip5").where("zip5 != ''")
+    held = r.keyed_roster(spark, root).select(F.col("street").alias("listed"), "zip5").distinct()
+    return joins.prefix_within(rows, held, ["zip5"], "street", "listed").groupBy("id").agg(F.count("*").alias("n"))
+
+
+def two_level_sample(spark, root):
+    """SMP-02: claims by type and method."""
+    c = r._claims(spark, root).select("id", "claim_type", "confidence_method")
+    return sampling.two_level(c, F.col("claim_type"), F.col("confidence_method"), 80, "id", SEED).select("id", "stratum")
+
+
+def ruled_sites(spark, root):
+    """COR-08: clinics taken out by the first rule that holds."""
+    o = table(spark, root, "owner_entity").select(text.canonical_id(F.col("id")).alias("owner"), (F.col("service_model") == "in_home").alias("in_home"), (~F.col("is_aba")).alias("other"))
+    rows = r.keyed_clinics(spark, root).join(o, "owner")
+    return dedup.ruled(rows, [("in_home", F.col("in_home")), ("other_service", F.col("other")), ("no_street", F.col("street") == "")]).select("id", "rule")
+
+
 _ID = r._ID
 _STEM = r._STEM
 _UNIVERSE = f"select * from ({r.street_sql('registry_snapshot', f'{_STEM} as stem, {r._ZIP5} as zip5, nullif(upper(trim(state)[1:2]), {chr(39)}{chr(39)}) as state')}) where street <> '' and length(stem) >= 6"
@@ -226,7 +258,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         market_share_by_state, size_distribution, owner_visibility, owners_per_parent, sites_by_state, method_breakdown, state_counts, roster_compared, roster_spread, confidence_grades,
         acquirers, release_diff, review_accuracy, match_rates, stratified_sample, reservoir_sample, vector_topk, vector_topk_tagged, page_texts, keyword_relevance, event_props, roster_paths,
-        fetch_lag, order_priorities, distinct_lines,
+        fetch_lag, order_priorities, distinct_lines, listed_and_new, status_rollup, typed_prefixes, two_level_sample, ruled_sites,
     )
 }
 
@@ -284,4 +316,8 @@ select id, stratum from c join f using (stratum) where n <= quota - case when r
 select c_mktsegment, o_orderpriority, count(*) as n_orders, cast(sum(coalesce(n, 0)) as bigint) as n_lines from orders join customer on o_custkey = c_custkey
 left join (select l_orderkey, count(*) as n from lineitem group by 1) on l_orderkey = o_orderkey group by all""",
     "distinct_lines": "select l_returnflag, count(*) as n, count(distinct (l_orderkey, l_linenumber)) as n_distinct from lineitem group by 1",
+    "listed_and_new": f"select exists (select 1 from ({r._CLINICS}) c where c.building = l.building and c.zip5 = l.zip5) as known, count(*) as n from ({r._ROSTER}) l where street <> '' group by 1",
+    "status_rollup": "select count(*) as listed, count(*) filter (s in ('a', 's')) as in_scope, count(*) filter (s = 'a') as n_a, count(*) filter (s = 's') as n_s, cast(coalesce(sum(length(raw_name)) filter (s = 's'), 0) as bigint) as uncovered_size from (select *, lower(trim(registry_status)) as s from registry_snapshot)",
+    "typed_prefixes": f"select c.id, count(*) as n from ({r._CLINICS}) c join (select distinct street as listed, zip5 from ({r._ROSTER}) where length(street) >= 10) l on l.zip5 = c.zip5 and starts_with(c.street, l.listed) where c.zip5 <> '' group by 1",
+    "ruled_sites": f"select c.id, case when o.service_model = 'in_home' then 'in_home' when not o.is_aba then 'other_service' when street = '' then 'no_street' end as rule from ({r._CLINICS}) c join owner_entity o on {_ID.format('o.id')} = c.owner where rule is not null",
 }

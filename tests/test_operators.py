@@ -158,3 +158,30 @@ def test_top_k(spark):
     e = spark.createDataFrame([(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, [0.0, 0.0]), (5, None)], "entity_id int, embedding array<double>")
     q = e.withColumnRenamed("entity_id", "query_id").where("query_id = 1")
     assert rows(vectors.top_k(q, e, 5).select("entity_id", "similarity", "rank")) == [(2, 1.0, 1), (3, 0.0, 2)]
+
+
+def test_resolve(spark):
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id int, embedding array<double>")
+    e = spark.createDataFrame([(10, "owner", [1.0, 0.1]), (11, "parent", [1.0, 0.2]), (12, "owner", [0.0, 1.0])], "entity_id int, kind string, embedding array<double>")
+    score = lambda c: c.withColumns({"link": F.lit(True), "confidence": F.lit(0.9), "snippets": F.when(F.col("entity_id") == 10, F.array(F.lit("s"))), "flags": F.lit(None).cast("array<string>")})
+    got = claims.resolve(q, e, score).collect()
+    assert [(r["entity_id"], r["claim_type"], r["confidence_score"]) for r in got] == [(10, "clinic_to_owner", 0.9)]  # 12 is below the floor, 11 has no snippet
+
+
+def test_quarantine_and_totals(spark):
+    c = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    log = spark.createDataFrame([("a", "quarantined"), ("b", "passed")], "id string, decision string")
+    assert [r["id"] for r in claims.quarantine(c, c.where("id != 'c'"), "r", log).collect()] == ["b"]
+    t = spark.createDataFrame([("x", 1, 2, True), ("y", 5, 5, False), ("z", 5, 5, None)], "n string, p int, q int, ok boolean")
+    assert tuple(metrics.totals_where(t, F.col("ok"), ["p", "q"], "n").first()) == (1, 1, 2, ["x"])
+
+
+def test_stub_vectors_have_no_neighbours(spark):
+    df = vectors.embed(spark.createDataFrame([(1, "a"), (2, None)], "entity_id int, t string"), "t", vectors.zero_provider(3))
+    assert df.first()["embedding"] == [0.0, 0.0, 0.0]
+    assert vectors.top_k(df.withColumnRenamed("entity_id", "query_id"), df, 3).count() == 0
+
+
+def test_zip_lookup(spark):
+    points = spark.createDataFrame([("10001", 1.0, 2.0), ("10002", 3.0, 4.0)], "zip5 string, lat double, lng double")
+    assert rows(joins.lookup_or_area(spark.createDataFrame([("10001",), ("10099",), ("99999",), (None,)], "zip5 string"), points)) == sorted([("10001", 1.0, 2.0), ("10099", 2.0, 3.0), ("99999", None, None), (None, None, None)], key=repr)
