@@ -48,15 +48,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, fused: bool = True) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
-    the size of what was written is known to the planner.
+    the size of what was written is known to the planner. ``fused=False`` is for long
+    chains of projections full of regular expressions and array functions: they gain
+    nothing from whole-stage code, and the driver need not compile it for them.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    whole = spark.conf.get("spark.sql.codegen.wholeStage", "true")
+    try:
+        if not fused:
+            spark.conf.set("spark.sql.codegen.wholeStage", "false")
+        df.write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", whole)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._kinlattice_path = path  # noqa: SLF001
     return staged
