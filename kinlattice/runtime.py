@@ -48,32 +48,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, label: str, fused: bool = True) -> DataFrame:
+def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
-    the size of what was written is known to the planner. ``fused=False`` is for long
-    chains of projections full of regular expressions and array functions: they gain
-    nothing from whole-stage code, and the driver need not compile it for them.
+    the size of what was written is known to the planner.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-    whole = spark.conf.get("spark.sql.codegen.wholeStage", "true")
-    try:
-        if not fused:
-            spark.conf.set("spark.sql.codegen.wholeStage", "false")
-        df.write.parquet(path)
-    finally:
-        spark.conf.set("spark.sql.codegen.wholeStage", whole)
+    df.write.parquet(path)
     staged = spark.read.schema(df.schema).parquet(path)
     staged._kinlattice_path = path  # noqa: SLF001
     return staged
 
 
-def drop_stage(df: DataFrame) -> None:
-    """Deletes what :func:`stage` wrote for ``df``; nothing may read it any more."""
-    path = getattr(df, "_kinlattice_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+def held_by(staged: DataFrame, df: DataFrame) -> DataFrame:
+    """``df``, which reads ``staged``: dropping it drops what was staged."""
+    df._kinlattice_path = staged._kinlattice_path  # noqa: SLF001
+    return df
+
+
+def drop_stage(*staged: DataFrame) -> None:
+    """Deletes what :func:`stage` wrote for them; nothing may read it any more."""
+    for df in staged:
+        path = getattr(df, "_kinlattice_path", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
