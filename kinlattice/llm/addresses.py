@@ -1,190 +1,172 @@
-"""Same postal address written differently (problem 5)."""
+"""Same postal address written differently (problem 5).
+
+Every line is expanded into all its plausible readings; combinations of their parts
+are hashed, exploded, and readings that share any hash and the house number are
+spellings of one street number. Each hash is sufficient: what it leaves out (a
+letter, the vowels, the town where the ZIP names it) is what one place may differ in.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
+from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from kinlattice.functions.text import unaccent
 from kinlattice.llm.components import connected
-from kinlattice.runtime import adaptive, stage
+from kinlattice.llm.postal import Form, readings
+from kinlattice.runtime import adaptive, drop_stage, stage
 
-#: Spellings of street types, by canonical form.
-STREET_TYPES = {
-    "aly": "alley aly", "ave": "avenue aven ave av", "blvd": "boulevard boulvard boul blvd", "cir": "circle cir", "ct": "court ct", "dr": "drive driv drv dr",
-    "expy": "expressway expy expwy", "fwy": "freeway fwy", "hwy": "highway hiway hwy", "ln": "lane ln", "loop": "loop", "pike": "pike", "pkwy": "parkway pkway pkwy pky",
-    "pl": "place pl", "plz": "plaza plz", "rd": "road rd", "sq": "square sq", "st": "street str st", "ter": "terrace terr ter", "tpke": "turnpike tpke tpk",
-    "trl": "trail trl", "way": "way wy",
-}
-#: Spellings of directions, by canonical form.
-DIRECTIONS = {"n": "north n", "s": "south s", "e": "east e", "w": "west w", "ne": "northeast ne", "nw": "northwest nw", "se": "southeast se", "sw": "southwest sw"}
-#: Ordinals written as words.
-ORDINALS = (
-    "first:1st second:2nd third:3rd fourth:4th fifth:5th sixth:6th seventh:7th eighth:8th ninth:9th tenth:10th eleventh:11th twelfth:12th thirteenth:13th "
-    "fourteenth:14th fifteenth:15th sixteenth:16th seventeenth:17th eighteenth:18th nineteenth:19th twentieth:20th"
-)
-UNIT_WORD = r"(?:suite|ste|unit|apartment|apt|room|rm)"
+if TYPE_CHECKING:
+    import pyarrow as pa
 
+#: Columns of an address, parts that name the street number, and parts that tell locations on it apart.
+ADDRESS = ("address_line1", "city", "state", "zip")
+CORE, FINE = ("num", "street", "town", "zip5", "st"), ("pre", "kind", "unit")
 
-def _spellings(canon: dict[str, str]) -> dict[str, str]:
-    return {w: k for k, words in canon.items() for w in words.split()}
 
+def read(rows: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns and ``form`` of the rows whose address has a house number and a street.
 
-def _map(d: dict[str, str]) -> Column:
-    # One expression that folds into a literal, whatever the number of entries.
-    return F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in d.items())), F.lit(","), F.lit(":"))
+    ``form`` holds all readings of the address in one text, parts joined by ``|`` and
+    readings by ``;``: addresses that read alike have one form. A line that many rows
+    repeat is read once per worker.
+    """
+    kept = rows.select(*keep)
+    schema = StructType([*kept.schema.fields, StructField("form", StringType())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
 
-TYPE_OF, DIRECTION_OF, ORDINAL_OF = _spellings(STREET_TYPES), _spellings(DIRECTIONS), dict(x.split(":") for x in ORDINALS.split())
+        for b in batches:
+            columns = [b.column(f"_{c}").to_pylist() for c in ADDRESS]
+            forms = pa.array([";".join("|".join(f) for f in readings(*x)) for x in zip(*columns)], pa.string())
+            out = pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], forms], [*keep, "form"])
+            yield out.filter(pa.array([f != "" for f in forms.to_pylist()], pa.bool_()))
 
+    return rows.select(*keep, *[F.col(c).cast("string").alias(f"_{c}") for c in ADDRESS]).mapInArrow(run, schema)
 
-def town(c: Column) -> Column:
-    """City without spelling of "saint", blanks and punctuation; '' where missing."""
-    words = F.trim(F.regexp_replace(unaccent(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", " "))
-    return F.regexp_replace(F.regexp_replace(words, r"^(?:st|sainte?|ste)\s", "saint "), " ", "")
 
+def _parts(lines: DataFrame) -> DataFrame:
+    """``(form, rank, <parts>)``: one row per reading of each form."""
+    each = lines.select("form", F.posexplode(F.split("form", ";")).alias("rank", "r")).select("form", "rank", F.split("r", r"\|").alias("p"))
+    return each.select("form", "rank", *[F.get("p", F.lit(i)).alias(c) for i, c in enumerate(Form._fields)])
 
-def zip5(c: Column) -> Column:
-    """First five digits, '' where there are fewer."""
-    d = F.regexp_replace(F.coalesce(c, F.lit("")), "[^0-9]", "")
-    return F.when(F.length(d) >= 5, F.substring(d, 1, 5)).otherwise("")
 
+def _shorter(c: Column) -> Column:
+    """The text whole and with each one of its letters left out."""
+    left_out = F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.concat(F.substring(c, F.lit(1), i - 1), F.substring(c, i + 1, F.length(c))))
+    return F.when(F.length(c) < 4, F.array(c)).otherwise(F.array_append(left_out, c))
 
-def parse(df: DataFrame, address: str = "address_line1", city: str = "city", state: str = "state", zip_: str = "zip") -> DataFrame:
-    """``df`` with ``num, pre, street, kind, unit, town, st, zip5``, all text, '' where missing.
 
-    Handles any order of unit and street, a unit in front, care-of lines, town,
-    state and ZIP inside the line, directions before or after the street, ordinals
-    in words, and blanks inside or missing between words (``street`` and ``town``
-    hold no blanks). Built-in expressions only. Null and blank lines give only ''.
-    """
-    text = lambda c: F.coalesce(c, F.lit(""))
-    line = F.trim(F.regexp_replace(F.regexp_replace(unaccent(text(F.col(address))), r"[^a-z0-9#,/-]+", " "), r"\s*,[\s,]*", ", "))
-    tail = r",\s*([a-z][a-z /-]*?),?\s+([a-z]{2}),?(?:\s+([0-9]{5})[ -]?(?:[0-9]{4})?)?\s*,?\s*$"
-    kinds, units = "|".join(TYPE_OF), rf"(?:,? (?:{UNIT_WORD}|building|bldg|bld|floor|flr|fl|#) ?#? ?[a-z]?[0-9]*[a-z]?\b)?"
-    # Town, state and ZIP that follow without a comma stand behind the street type and the unit.
-    bare = rf"^([^,]* (?:{kinds})\b(?: (?:{'|'.join(DIRECTION_OF)})\b)?{units}) ([a-z][a-z ]+) ([a-z]{{2}}) ([0-9]{{5}}(?:[ -]?[0-9]{{4}})?)$"
-    df = df.withColumn("_l", F.regexp_replace(line, bare, "$1, $2, $3 $4"))
-    has_zip = F.col("_l").rlike(r",\s*[a-z][a-z /-]*?,?\s+[a-z]{2},?\s+[0-9]{5}[ -]?(?:[0-9]{4})?\s*,?\s*$")
-    no_zip = F.col("_l").rlike(r",\s*[a-z][a-z /-]*,\s+(?!fl\b)[a-z]{2}\s*,?\s*$")
-    df = df.withColumn("_tail", has_zip | no_zip)
-    part = lambda i: F.when(F.col("_tail"), F.regexp_extract("_l", tail, i)).otherwise("")
-    own = lambda own, found: F.when(own != "", own).otherwise(found)
-    df = df.withColumns({
-        "town": own(town(F.col(city)), town(part(1))),
-        "st": own(F.regexp_replace(F.lower(text(F.col(state))), "[^a-z]", ""), part(2)),
-        "zip5": own(zip5(F.col(zip_)), zip5(part(3))),
-        "_b": F.when(F.col("_tail"), F.regexp_replace("_l", tail, "")).otherwise(F.col("_l")),
-    })
-    # Ordinals in words first: "fourth floor" is a unit, "eighth street" a name.
-    df = df.withColumn("_b", F.array_join(F.transform(F.split(F.regexp_replace("_b", "[,/-]", " , "), r"\s+"), lambda t: F.coalesce(_map(ORDINAL_OF)[t], t)), " "))
-    found = {
-        "_fl": (r"\b(\d+)(?:st|nd|rd|th) (?:floor|flr|fl)\b|\b(?:floor|flr|fl) ?#? ?(\d+|[a-z])\b", "fl"),
-        "_bl": (r"\b(?:building|bldg|bld) ?#? ?([a-z]\d*|\d+[a-z]?)\b", "bldg"),
-        "_su": (rf"(?:\b{UNIT_WORD} ?(?:# ?)?|# ?)([a-z]\d+|\d+[a-z]?|[a-z])\b", "ste"),
-    }
-    for name, (pattern, word) in found.items():
-        value = F.concat(*[F.regexp_extract("_b", pattern, i + 1) for i in range(pattern.count("([a-z]") + pattern.count("(\\d"))])
-        df = df.withColumn(name, F.when(value != "", F.concat(F.lit(word), F.regexp_replace(value, " ", ""))).otherwise("")).withColumn("_b", F.regexp_replace("_b", pattern, " "))
-    df = df.withColumn("_re", F.when(F.col("_b").rlike(r"\brear\b"), "rear").otherwise("")).withColumn("_b", F.regexp_replace("_b", r"\brear\b", " "))
-    # What stands before the house number is no part of it ("c/o front desk", "clinic at").
-    df = df.withColumn("_b", F.trim(F.regexp_replace(F.regexp_replace("_b", r"^[^0-9]*", ""), r"[ ,#]+", " ")))
-    df = df.withColumns({
-        "num": F.regexp_extract("_b", r"^(\d+)", 1),
-        "_t": F.filter(F.split(F.regexp_replace("_b", r"^\d+[a-z]?(?: |$)", ""), " "), lambda t: t != ""),
-        "unit": F.concat("_bl", "_fl", "_su", "_re"),
-    })
-    last, first = F.get("_t", F.size("_t") - 1), F.get("_t", F.lit(0))
-    many = F.size("_t") > 1
-    df = df.withColumn("_post", F.when(many, F.coalesce(_map(DIRECTION_OF)[last], F.lit(""))).otherwise(""))
-    df = df.withColumn("_t", F.when(F.col("_post") != "", F.slice("_t", F.lit(1), F.size("_t") - 1)).otherwise(F.col("_t")))
-    df = df.withColumn("kind", F.when(many, F.coalesce(_map(TYPE_OF)[last], F.lit(""))).otherwise(""))
-    df = df.withColumn("_t", F.when(F.col("kind") != "", F.slice("_t", F.lit(1), F.size("_t") - 1)).otherwise(F.col("_t")))
-    df = df.withColumn("_pre", F.when(many, F.coalesce(_map(DIRECTION_OF)[first], F.lit(""))).otherwise(""))
-    df = df.withColumn("_t", F.when(F.col("_pre") != "", F.slice("_t", F.lit(2), F.size("_t") - 1)).otherwise(F.col("_t")))
-    df = df.withColumns({"pre": own(F.col("_pre"), F.col("_post")), "street": F.regexp_replace(F.array_join("_t", ""), r"^(\d+)(?:st|nd|rd|th)$", "$1")})
-    return df.drop("_l", "_tail", "_b", "_fl", "_bl", "_su", "_re", "_t", "_post", "_pre")
-
-
-#: Parts that name the street and the town, and parts that tell locations on one street number apart.
-CORE, FINE = ("num", "street", "town", "zip5", "st"), ("pre", "kind", "unit")
-FORM = (*CORE, *FINE)
+def _bones(c: Column, least: int = 4) -> Column:
+    """Consonants, repeated ones once: what vowels and doubled letters cannot change; null where few are left."""
+    b = F.regexp_replace(F.regexp_replace(c, "[aeiouy]", ""), r"(.)\1+", "$1")
+    return F.when((F.length(b) >= least) & ~c.rlike("^[0-9]"), F.concat(F.lit("~"), b))
 
 
-def _letters(c: Column) -> Column:
-    return F.regexp_replace(unaccent(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", "")
+def _hashes() -> Column:
+    """Every hash that makes a reading the same street number as another one with it.
 
+    Number and ZIP with the street (whole, one letter left out, or its bones), where
+    the towns are alike; number, state and town with the street; number, state and
+    street with the town (likewise); number, state and the bones of both. Names that
+    begin with a number ("8th", "18th") count only whole: there one changed character
+    is another street.
+    """
+    num, street, town, zip_, st, area = (F.col(c) for c in (*CORE, "area"))
+    none = F.array().cast("array<bigint>")
+    with_bones = lambda c: F.array_compact(F.array_append(F.when(c.rlike("^[0-9]"), F.array(c)).otherwise(_shorter(c)), _bones(c)))
+    streets, towns = with_bones(street), with_bones(town)
+    by_zip = F.when(zip_ != "", F.transform(streets, lambda v: F.xxhash64(F.lit("zip"), num, zip_, area, v)))
+    by_town = F.when(town != "", F.transform(streets, lambda v: F.xxhash64(F.lit("town"), num, st, town, v)))
+    near_town = F.when((town != "") & (st != ""), F.transform(towns, lambda v: F.xxhash64(F.lit("near"), num, st, street, v)))
+    both = F.concat(_bones(street, 2), _bones(town, 2))
+    bones = F.when((st != "") & (F.length(both) > 9), F.array(F.xxhash64(F.lit("bones"), num, st, both)))
+    return F.array_distinct(F.concat(*[F.coalesce(h, none) for h in (by_zip, by_town, near_town, bones)]))
 
-def with_form(rows: DataFrame, writer: Column) -> DataFrame:
-    """Rows that have a house number and a street, with their parsed form, its key and who wrote it."""
-    parsed = parse(rows).where("num != '' and street != ''")
-    return parsed.withColumns({"form": F.concat_ws("|", *FORM), "writer": writer, "writing": F.xxhash64("writer", _letters(F.col("address_line1")), "town", "zip5", "st")})
 
+def _cores(parts: DataFrame) -> DataFrame:
+    """Distinct street numbers as read, with an id and ``area``: the town as its ZIP tells it.
+
+    A town within three letters of the one that most lines give for the ZIP is that
+    town, and so is a missing one; any other town stands for itself.
+    """
+    per_zip = parts.where("zip5 != '' and town != ''").groupBy("zip5", "town").agg(F.count("*").alias("n")).groupBy("zip5").agg(F.max_by("town", F.struct("n", "town")).alias("main"))
+    near = (F.col("town") == "") | (F.levenshtein("town", "main", 3) >= 0)
+    cores = parts.select(*CORE).distinct().join(per_zip, "zip5", "left").select(*CORE, F.coalesce(F.when(near, F.col("main")).otherwise(F.col("town")), "town").alias("area"))
+    return cores.withColumn("core", F.monotonically_increasing_id())
 
-def _hashes() -> Column:
-    """Every hash under which a spelling is looked up: combinations of its parts, with the
-    street whole, with one letter of it left out, or without the street."""
-    num, street, town_, zip_, st = (F.col(c) for c in CORE)
-    when = lambda has, *parts: F.when(has, F.xxhash64(*parts))
-    shorter = F.transform(F.sequence(F.lit(1), F.length(street)), lambda i: F.concat(F.substring(street, F.lit(1), i - 1), F.substring(street, i + 1, F.length(street))))
-    variants = F.array_distinct(F.concat(F.array(street), shorter))
-    by_zip = F.when(zip_ != "", F.transform(variants, lambda v: F.xxhash64(F.lit("zs"), num, zip_, v)))
-    by_town = F.when(town_ != "", F.transform(variants, lambda v: F.xxhash64(F.lit("ts"), num, town_, v)))
-    none = F.array().cast("array<bigint>")
-    # Consonants, repeated ones once: what vowels and doubled letters cannot change.
-    bones = F.regexp_replace(F.regexp_replace(street, "[aeiouy]", ""), r"(.)\1+", "$1")
-    whole = F.array(
-        when((town_ != "") & (bones != ""), F.lit("tb"), num, town_, bones),
-        when((st != "") & (bones != ""), F.lit("sb"), num, st, bones),
-        when(zip_ != "", F.lit("z"), num, zip_, street),
-        when(town_ != "", F.lit("t"), num, town_, street),
-        when(st != "", F.lit("s"), num, st, street),
-        when((zip_ != "") & (town_ != ""), F.lit("zt"), num, zip_, town_),
-    )
-    return F.array_distinct(F.concat(F.filter(whole, lambda h: h.isNotNull()), F.coalesce(by_zip, none), F.coalesce(by_town, none)))
 
+def _streets(parts: DataFrame) -> DataFrame:
+    """``(<core parts>, cluster)``: readings of one street number in one town share a cluster.
 
-def _near(a: Column, b: Column, most: int) -> Column:
-    return (a == "") | (b == "") | (F.levenshtein(a, b, most) >= 0)
+    Readings under one hash are tied to the first of them while they stream by in
+    order, so work is linear in hashes, no pairs are made and no link is left out;
+    the ties are closed by the star rewrites of :mod:`components`.
+    """
+    core = stage(_cores(parts), "core")
+    keyed = core.select("core", "num", F.explode(_hashes()).alias("h"))
+    in_order = Window.partitionBy("h", "num").orderBy("core")  # the house number itself, whatever the hash
+    tied = keyed.select("core", F.first("core").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("least")).where("core != least").distinct()
+    groups = connected(tied, "core", "least")
+    clusters = stage(core.join(groups, F.col("core") == F.col("id"), "left").select(*CORE, "area", F.coalesce("group_id", "core").alias("cluster")), "clusters")
+    drop_stage(core, groups)
+    lone = connected(_only_fits(clusters).unionByName(_two_letters(clusters)))
+    closed = stage(clusters.join(lone, F.col("cluster") == F.col("id"), "left").select(*CORE, F.coalesce("group_id", "cluster").alias("cluster")), "closed")
+    drop_stage(clusters, lone)
+    return closed
+
+
+def _only_fits(clusters: DataFrame) -> DataFrame:
+    """``(a, b)``: two clusters of one street number of which one lacks what would tell them apart.
+
+    Under number, street and town: the state is missing in one. Under number, street
+    and state: the town is missing in one, and no two ZIPs speak against it. Only where
+    no third cluster has that number and street there.
+    """
+    facts = clusters.groupBy("cluster").agg(*[F.max(c).alias(f"any_{c}") for c in ("town", "zip5", "st")])
+    keys = F.array_compact(F.array(*[F.when(F.col(c) != "", F.struct(F.lit(c).alias("by"), F.xxhash64("num", "street", c).alias("k"))) for c in ("town", "st")]))
+    under = clusters.select("cluster", "num", F.explode(keys).alias("key")).select("cluster", "num", "key.by", "key.k").distinct()
+    two = under.join(facts, "cluster").groupBy("by", "k", "num").agg(F.count("*").alias("n"), F.min(F.struct("cluster", "any_town", "any_zip5", "any_st")).alias("p"), F.max(F.struct("cluster", "any_town", "any_zip5", "any_st")).alias("q")).where("n = 2")
+    lacks = lambda c: (F.col(f"p.any_{c}") == "") | (F.col(f"q.any_{c}") == "")
+    fits = F.when(F.col("by") == "town", lacks("st")).otherwise(lacks("town") & (lacks("zip5") | (F.col("p.any_zip5") == F.col("q.any_zip5"))))
+    return two.where(fits).select(F.col("p.cluster").alias("a"), F.col("q.cluster").alias("b"))
 
 
-def _same_street_and_town(a: str, b: str) -> Column:
-    """Spellings of one street and one town: near in all parts, alike in town or equal in ZIP.
+def _two_letters(clusters: DataFrame) -> DataFrame:
+    """``(a, b)``: clusters whose streets, of eight letters or more, differ in two letters.
 
-    Street names that begin with a number ("8th", "18th") must be equal: there one
-    changed character is another street.
+    They meet under number, place and the first or the last four letters of the
+    street; only spellings that nothing has tied yet are compared.
     """
-    x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
-    numbered = x("street").rlike("^[0-9]") | y("street").rlike("^[0-9]")
-    short = F.least(F.length(x("street")), F.length(y("street"))) < 5
-    street = F.when(numbered, x("street") == y("street")).when(short, F.levenshtein(x("street"), y("street"), 1) >= 0).otherwise(F.levenshtein(x("street"), y("street"), 2) >= 0)
-    same_town = (x("town") != "") & (F.levenshtein(x("town"), y("town"), 2) >= 0)
-    same_zip = (x("zip5") != "") & (x("zip5") == y("zip5"))
-    state = (x("st") == "") | (y("st") == "") | (x("st") == y("st"))
-    # One has only the town, the other only the ZIP: the state has to tell.
-    apart = (x("st") != "") & (x("st") == y("st")) & (((x("town") == "") & (y("zip5") == "")) | ((y("town") == "") & (x("zip5") == "")))
-    return (x("num") == y("num")) & street & _near(x("town"), y("town"), 3) & (same_zip | (same_town & state) | apart)
-
-
-def _streets(writings: DataFrame) -> DataFrame:
-    """``(num, street, town, zip5, st, cluster)``: spellings of one street number in one town share a cluster.
-
-    A hash does not pair the spellings under it with each other: each meets only the
-    best supported one (a maximum, combined map-side), so work is linear in hashes
-    whatever the number of spellings. Links that survive the comparison are closed
-    into clusters by the star rewrites of :mod:`components`.
+    street = F.col("street")
+    ends = F.array(F.concat(F.lit("^"), F.substring(street, 1, 4)), F.concat(F.lit("$"), F.right(street, F.lit(4))))
+    places = F.array_compact(F.array(F.when(F.col("zip5") != "", F.concat_ws("|", "zip5", "area")), F.when((F.col("town") != "") & (F.col("st") != ""), F.concat_ws("|", "st", "town"))))
+    long = clusters.where((F.length(street) > 7) & ~street.rlike("^[0-9]")).select("cluster", "num", "street", F.explode(places).alias("place"), ends.alias("ends"))
+    under = long.select("cluster", "num", "street", F.explode(F.transform("ends", lambda e: F.xxhash64("place", e))).alias("k")).distinct()
+    mixed = under.groupBy("num", "k").agg((F.min("cluster") != F.max("cluster")).alias("mixed")).where("mixed")
+    x = under.join(mixed, ["num", "k"], "left_semi")
+    y = x.select("num", "k", F.col("cluster").alias("b"), F.col("street").alias("other"))
+    return x.withColumnRenamed("cluster", "a").join(y.hint("merge"), ["num", "k"]).where((F.col("a") < F.col("b")) & (F.levenshtein("street", "other", 2) >= 0)).select("a", "b").distinct()
+
+
+def _settled(placed: DataFrame) -> DataFrame:
+    """``(form, cluster, pre, kind, unit)``: of several readings, the one that most other lines support.
+
+    Support are other lines whose likeliest reading has the same street number and
+    direction; ties go to the likelier reading.
     """
-    core = stage(writings.groupBy(*CORE).agg(F.count("*").alias("n")).withColumn("core", F.monotonically_increasing_id()), "core")
-    keyed = core.select("core", "n", *CORE, F.explode(_hashes()).alias("h"))
-    hubs = keyed.groupBy("h").agg(F.max(F.struct("n", *CORE, "core")).alias("hub"), F.count("*").alias("many")).where("many > 1").select("h", "hub")
-    # Never broadcast: planners take exploded rows for much smaller than they are.
-    met = keyed.join(hubs.hint("merge"), "h").where(F.col("core") != F.col("hub.core")).select(F.struct("core", *CORE).alias("x"), "hub").where(_same_street_and_town("x", "hub"))
-    groups = connected(met.select(F.col("x.core").alias("a"), F.col("hub.core").alias("b")).distinct())
-    return core.join(groups.withColumnRenamed("id", "core"), "core", "left").select(*CORE, F.coalesce("group_id", "core").alias("cluster"))
+    support = placed.where("rank = 0").groupBy("cluster", "pre").agg(F.count("*").alias("n"))
+    several = placed.where(F.col("form").contains(";")).join(support, ["cluster", "pre"], "left")
+    others = F.coalesce("n", F.lit(0)) - F.when(F.col("rank") == 0, 1).otherwise(0)
+    won = several.groupBy("form").agg(F.max_by(F.struct("cluster", *FINE), F.struct(others.alias("n"), -F.col("rank"))).alias("w"))
+    one = placed.where(~F.col("form").contains(";")).select("form", "cluster", *FINE)
+    return one.unionByName(won.select("form", "w.*"))
 
 
 def _fit(triples: DataFrame) -> DataFrame:
@@ -212,33 +194,45 @@ def _fit(triples: DataFrame) -> DataFrame:
     return chosen.select(*keys, F.when(F.col("one"), F.col("cluster").cast("string")).otherwise(own).alias("location"))
 
 
-def locate(rows: DataFrame, writer: Column, keep: Sequence[str] = ("id",)) -> DataFrame:
-    """``keep`` columns of rows that have a house number and a street, their parsed parts and ``location``.
+def _directed(settled: DataFrame, wrote: DataFrame, attested: int) -> DataFrame:
+    """``settled`` with ``-`` as direction where a street without one is a place of its own.
+
+    A street always has a type, and a unit may go unsaid, but many streets have no
+    direction: beside the same street with one, "no direction" is a value if at least
+    ``attested`` writers say so independently, none of whom also writes a direction.
+    """
+    says = settled.join(wrote, "form").groupBy("cluster", "writer").agg(F.max(F.col("pre") == "").alias("without"), F.max(F.col("pre") != "").alias("with_"))
+    own = says.groupBy("cluster").agg(((F.count_if("without") >= attested) & ~F.max(F.col("without") & F.col("with_"))).alias("own")).where("own")
+    none = (F.col("pre") == "") & F.coalesce("own", F.lit(False))
+    return settled.join(own, "cluster", "left").withColumn("pre", F.when(none, "-").otherwise(F.col("pre"))).drop("own")
+
+
+def locate(rows: DataFrame, writer: Column, keep: Sequence[str] = ("id",), attested: int = 2) -> DataFrame:
+    """``keep`` columns of rows whose address has a house number and a street, their ``form`` and ``location``.
 
     ``rows`` has address_line1, city, state and zip; other columns are not looked at.
     Rows share a location if street, number, town and unit agree. A part that is
     missing or misspelt does not part a row from the location that it otherwise
     fits, as long as only one fits; a row that fits several stays with rows of its own
-    form. House numbers must be equal. A street number without a direction beside one
-    with a direction is a location of its own if at least two writings have it and
-    none of its writers also writes the direction; else the direction is missing.
-    ``writer`` says who wrote a row (it only serves that count). Rows whose line is
-    null or has no number or no street have no location and are left out. Exact
-    copies are counted once, before anything is compared.
+    form. A street without a direction beside the same one with a direction is a place
+    of its own if ``attested`` writers have it so (``writer`` says who wrote a row; a
+    null one is nobody). House numbers must be equal. Rows whose line is null or has no
+    number or no street have no location and are left out. Addresses that read alike
+    count once.
     """
     adaptive(rows.sparkSession)
-    # Parsed once, written, and read by all that follows: no later plan carries the parser.
-    given = rows.select(*keep, "address_line1", "city", "state", "zip", writer.alias("writer"))
-    formed = stage(with_form(given, F.col("writer")).select(*keep, *FORM, "form", "writer", "writing"), "formed", fused=False)
-    writings = stage(formed.select(*FORM, "form", "writer", "writing").distinct(), "writings")
-    clusters = stage(_streets(writings), "clusters")
-    placed = stage(writings.join(clusters, [*CORE]).select("cluster", *FINE, "form", "writer", "writing"), "placed")
-    per_writer = placed.groupBy("cluster", "writer").agg(F.count_distinct(F.when(F.col("pre") == "", F.col("writing"))).alias("n"), F.max(F.col("pre") != "").alias("also"))
-    undirected = per_writer.groupBy("cluster").agg(((F.sum("n") > 1) & ~F.max((F.col("n") > 0) & F.col("also"))).alias("own")).where("own").select("cluster", "own")
-    told = placed.select("cluster", *FINE, "form").distinct().join(undirected, "cluster", "left").withColumn("pre", F.when((F.col("pre") == "") & F.coalesce("own", F.lit(False)), "-").otherwise(F.col("pre")))
-    fitted = _fit(told.select("cluster", *FINE).distinct())
-    of_form = told.join(fitted, ["cluster", *FINE]).select("form", "location").distinct()
-    return formed.join(of_form, "form")
+    # Read once, written, and used by all that follows.
+    formed = stage(read(rows.withColumn("writer", writer), [*keep, "writer"]), "formed")
+    lines = stage(formed.select("form").distinct(), "lines")
+    clusters = _streets(_parts(lines))
+    placed = stage(_parts(lines).join(clusters, [*CORE]).select("form", "rank", "cluster", *FINE), "placed")
+    wrote = formed.select("form", "writer").where("writer is not null").distinct()
+    settled = stage(_directed(_settled(placed), wrote, attested), "settled")
+    drop_stage(lines, clusters, placed)
+    fitted = _fit(settled.select("cluster", *FINE).distinct())
+    of_form = stage(settled.join(fitted, ["cluster", *FINE]).select("form", "location"), "locations")
+    drop_stage(settled)
+    return formed.drop("writer").join(of_form, "form")
 
 
 def location_pairs(located: DataFrame, key: str = "id") -> DataFrame:

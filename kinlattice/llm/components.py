@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import canonical_id
-from kinlattice.runtime import adaptive, drop_stage, stage
+from kinlattice.runtime import adaptive, drop_stage, held_by, stage
 
 
 def _oriented(pairs: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def connected(pairs: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60
         edges = after
         if now == seen:
             roots = edges.select(F.col("u").alias("id")).distinct()
-            return edges.select(F.col("v").alias("id"), F.col("u").alias("group_id")).unionByName(roots.select("id", F.col("id").alias("group_id")))
+            return held_by(edges, edges.select(F.col("v").alias("id"), F.col("u").alias("group_id")).unionByName(roots.select("id", F.col("id").alias("group_id"))))
         seen = now
     raise RuntimeError(f"components not settled after {max_rounds} rounds")
 

@@ -9,102 +9,81 @@ functions repeat each other, and gives every candidate its posterior confidence.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator, Sequence
+from typing import TYPE_CHECKING
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from kinlattice.functions.text import blank_to_null, unaccent
-from kinlattice.llm.addresses import locate
+from kinlattice.functions.text import blank_to_null
+from kinlattice.llm.addresses import ADDRESS, locate
+from kinlattice.llm.postal import names
 from kinlattice.runtime import adaptive, stage
 
-#: Legal forms, and the word that each spelling of a name's word stands for.
-LEGAL = "llc inc incorporated corp corporation pc pllc pa lp llp ltd co company"
-WORDS = (
-    "behav:behavioral behavioural:behavioral behaviour:behavior behaviors:behavior ther:therapy therapies:therapy svcs:services svc:services service:services serv:services "
-    "ctr:center centre:center centers:center cntr:center cent:center dev:development devel:development developmental:developmental assoc:associates grp:group clin:clinic "
-    "ped:pediatric peds:pediatric paediatric:pediatric st:saint ste:saint and:and mgmt:management mgt:management lrng:learning learn:learning"
-)
-WORD_OF = dict(x.split(":") for x in WORDS.split())
-SPAN = 4
+if TYPE_CHECKING:
+    import pyarrow as pa
 
+#: The matching functions, in the order of the vote vector.
+FUNCTIONS = ("whole", "spelling", "head", "kind", "alias", "sibling", "known")
 
-def with_names(rows: DataFrame, name: str) -> DataFrame:
-    """Rows with ``names``: the names a row goes by, each as ``(whole, head, rest)`` without blanks.
 
-    A "doing business as" line has two names. Legal form, the town behind the name,
-    "the", abbreviations and words put last behind a comma are undone. Null and blank
-    names have none.
-    """
-    ends = LEGAL.split()
-    legal = rf"(?:[,\s]+(?:{'|'.join(ends)}))+\s*$"
-    word_of = F.str_to_map(F.lit(",".join(f"{k}:{v}" for k, v in WORD_OF.items())), F.lit(","), F.lit(":"))
-    size, zero = F.size, F.lit(0)
-
-    def without_town(t: Column) -> Column:
-        # Behind a comma it is no town but a part of the name put last.
-        is_town = lambda k: (k < size(t)) & (F.array_join(F.slice(t, F.greatest(size(t) - k + 1, F.lit(1)), k), "") == F.col("town")) & (F.coalesce(F.get(t, size(t) - k - 1), F.lit("")) != ",")
-        k = F.array_max(F.filter(F.sequence(F.lit(1), F.lit(SPAN)), is_town))
-        return F.slice(t, F.lit(1), size(t) - F.coalesce(k, zero))
-
-    def turned(t: Column) -> Column:
-        cut = F.array_position(t, ",").cast("int")
-        before, after = F.slice(t, F.lit(1), F.greatest(cut - 1, zero)), F.slice(t, F.greatest(cut + 1, F.lit(1)), size(t))
-        return F.filter(F.when((cut > 1) & (cut < size(t)), F.concat(after, before)).otherwise(t), lambda w: w != ",")
-
-    steps = [
-        lambda p: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(p, r"[.'’]", ""), "&", " and "), legal, "")),
-        lambda p: F.filter(F.split(F.regexp_replace(p, r"[^a-z0-9,]+", " "), r"\s+|(?=,)|(?<=,)"), lambda w: w != ""),
-        lambda t: F.transform(t, lambda w: F.coalesce(word_of[w], w)),
-        without_town,
-        lambda t: F.filter(t, lambda w: ~w.isin(*ends)),
-        turned,
-        lambda t: F.when((size(t) > 2) & F.get(t, size(t) - 1).isin("of", "at", "in"), F.slice(t, F.lit(1), size(t) - 1)).otherwise(t),
-        lambda t: F.when((size(t) > 1) & (F.get(t, zero) == "the"), F.slice(t, F.lit(2), size(t))).otherwise(t),
-        lambda t: F.struct(F.array_join(t, "").alias("whole"), F.get(t, zero).alias("head"), F.array_join(F.slice(t, F.lit(2), F.greatest(size(t), F.lit(1))), "").alias("rest")),
-    ]
-    names = F.split(unaccent(F.coalesce(F.col(name), F.lit(""))), r"\s+(?:d ?/ ?b ?/ ?a|dba|doing business as|trading as|aka)\.?:?\s+")
-    for step in steps:  # each in a lambda of its own, so that no step repeats the expression before it
-        names = F.transform(names, step)
-    return rows.withColumn("names", F.filter(names, lambda n: n["whole"] != ""))
+def with_names(rows: DataFrame, name: str, towns: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` columns and ``own``: the names a row goes by, ``whole|head|rest``, joined by ``;``; without any it is ''."""
+    schema = StructType([*rows.select(*keep).schema.fields, StructField("own", StringType())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow as pa
 
-def aliases(owners: DataFrame) -> DataFrame:
-    """``(whole, also)``: legal and trade name of one owner, both ways, and each itself."""
-    both = [with_names(owners.select(F.col(c).alias("n"), F.lit("").alias("town"), F.monotonically_increasing_id().alias("o")), "n").select("o", F.explode("names").alias("x")).select("o", F.col("x.whole").alias("whole")) for c in ("name", "trade_name")]
-    one = both[0].unionByName(both[1]).distinct()
-    return one.join(one.withColumnRenamed("whole", "also"), "o").select("whole", "also").distinct()
+        for b in batches:
+            columns = [b.column(i).to_pylist() for i in range(len(keep), b.num_columns)]
+            own = [";".join("|".join(n) for n in names(*x)) for x in zip(*columns)]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(own, pa.string())], [*keep, "own"])
 
+    return rows.select(*keep, F.col(name).alias("_name"), *[F.col(t).alias(f"_town{i}") for i, t in enumerate(towns)]).mapInArrow(run, schema)
+
+
+def _each(df: DataFrame, *keep: str | Column) -> DataFrame:
+    """One row per name."""
+    return df.select(*keep, F.explode(F.split("own", ";")).alias("n")).where("n != ''")
 
-#: The matching functions, in the order of the vote vector.
-FUNCTIONS = ("whole", "spelling", "head", "kind", "alias", "sibling", "known")
 
+def _part(c: str, i: int) -> Column:
+    return F.get(F.split(c, r"\|"), F.lit(i))
+
+
+def aliases(owners: DataFrame) -> DataFrame:
+    """``(whole, also)``: each legal or trade name and every name, itself too, of an owner who has it."""
+    texts = owners.select(F.xxhash64("name", "trade_name").alias("o"), F.explode(F.array("name", "trade_name")).alias("name"))
+    each = _each(with_names(texts, "name", keep=("o",)), "o").distinct()
+    return each.join(each.withColumnRenamed("n", "also"), "o").select(_part("n", 0).alias("whole"), "also").distinct()
 
-def _votes(c: DataFrame) -> DataFrame:
-    """A candidate's vote vector: 1 for, -1 against, 0 silent; a row with two names takes the better."""
+
+def _votes(pairs: DataFrame) -> DataFrame:
+    """``(location, reg, c_name, votes)``: the vote vector of each candidate; of several names the better counts.
+
+    1 is for, -1 against, 0 silent.
+    """
     near = lambda a, b, most: F.levenshtein(a, b, most) >= 0
     vote = lambda yes, no: F.when(yes, 1).when(no, -1).otherwise(0)
-    z = F.col("c_name")
-
-    def of(n: Column) -> list[Column]:
-        whole = n["whole"] == z["whole"]
-        return [
-            vote(whole, ~near(n["whole"], z["whole"], 6)),
-            vote(near(n["whole"], z["whole"], 2) & (F.length(n["whole"]) > 7), ~near(n["whole"], z["whole"], 4)),
-            vote((n["head"] == z["head"]) | whole, ~near(n["head"], z["head"], 2)),
-            vote((n["rest"] == z["rest"]) & (n["rest"] != ""), ~near(n["rest"], z["rest"], 3) & ~near(n["whole"], z["whole"], 4)),
-        ]
-
-    sets = [F.transform("names", _pick(of, k)) for k in range(4)]
-    by_name = [F.coalesce(F.array_max(s), F.lit(-1)) for s in sets]
-    alias = vote(F.col("aliased"), F.lit(False))
-    sibling = vote(F.col("sib_same"), F.col("sib_other"))
+    n, z = ((F.col(f"{x}_whole"), F.col(f"{x}_head"), F.col(f"{x}_rest")) for x in "nz")
+    same = n[0] == z[0]
+    by_name = [
+        vote(same, ~near(n[0], z[0], 6)),
+        vote(near(n[0], z[0], 2) & (F.length(n[0]) > 7), ~near(n[0], z[0], 4)),
+        vote((n[1] == z[1]) | same, ~near(n[1], z[1], 2)),
+        vote((n[2] == z[2]) & (n[2] != ""), ~near(n[2], z[2], 3) & ~near(n[0], z[0], 4)),
+    ]
+    cand = pairs.groupBy("location", "reg", "c_name", "c_known").agg(
+        *[F.max(v).alias(f"v{i}") for i, v in enumerate(by_name)],
+        F.max(F.col("alias") & same).alias("aliased"), F.max("alias").alias("s_known"), F.max(F.col("written") & same).alias("exact"),
+    )
+    elsewhere = cand.where("exact").groupBy("location", "reg").agg(F.lit(True).alias("named"))
+    sibling = vote(F.col("exact"), F.col("named"))
     known = vote(F.col("aliased") & F.col("s_known"), F.col("s_known") & F.col("c_known") & ~F.col("aliased"))
-    return c.withColumn("votes", F.concat_ws(",", *[v.cast("string") for v in (*by_name, alias, sibling, known)]))
-
-
-def _pick(of, k: int):
-    return lambda n: of(n)[k]
+    vector = [*[F.col(f"v{i}") for i in range(4)], vote(F.col("aliased"), F.lit(False)), sibling, known]
+    return cand.join(elsewhere, ["location", "reg"], "left").select("location", "reg", "c_name", F.concat_ws(",", *[v.cast("string") for v in vector]).alias("votes"))
 
 
 def fit_label_model(patterns: list[tuple[list[int], int]], rounds: int = 60, dependent: float = 0.02) -> dict[tuple[int, ...], float]:
@@ -173,69 +152,51 @@ def fit_label_model(patterns: list[tuple[list[int], int]], rounds: int = 60, dep
     return {tuple(int(v) - 1 for v in vs): float(p) for vs, p in zip(votes, post)}
 
 
-def _by_all_names(forms: DataFrame, owners: DataFrame) -> DataFrame:
-    """``forms`` (location, npi, own, s_key) with ``names``: all names that the registrant goes by there.
-
-    Those are the names that rows of one registry number write at the location, and
-    for each of them the other names, legal or trade, of the owner who has it. Forms
-    without a name are dropped.
-    """
-    both = with_names(owners.select(F.explode(F.array("name", "trade_name")).alias("n"), F.lit("").alias("town"), F.xxhash64("name", "trade_name").alias("o")), "n").select("o", F.explode("names").alias("x"))
-    others = both.join(both.withColumnRenamed("x", "y"), "o").groupBy(F.col("x.whole").alias("w")).agg(F.collect_set("y").alias("ys"))  # as many rows as there are owner names
-    keyed = forms.withColumn("reg", F.when(F.col("npi").isNotNull(), F.xxhash64(F.lit("npi"), "npi")).otherwise(F.col("s_key")))
-    each = keyed.select("location", "reg", F.explode("own").alias("n")).distinct().join(others, F.col("n.whole") == F.col("w"), "left")
-    named = each.select("location", "reg", F.explode(F.array_append(F.coalesce("ys", F.array().cast("array<struct<whole:string,head:string,rest:string>>")), F.col("n"))).alias("n"))
-    return keyed.join(named.groupBy("location", "reg").agg(F.collect_set("n").alias("names")), ["location", "reg"]).drop("reg")
-
-
 def link(staged: DataFrame, centers: DataFrame, owners: DataFrame) -> DataFrame:
     """``(staging_id, center_id, confidence)`` for every candidate: rows at one location.
 
     ``staged``: id, name, npi and the address columns; ``centers``: id, name and the
     address columns; ``owners``: name, trade_name. Rows without an address that has a
-    number and a street are no candidates. Copies are compared once: votes are cast on
-    distinct names at a location and spread to the rows at the end. The model sees the
-    counts of vote patterns, at most 3 ** 7 of them whatever the input, and nothing else
-    is collected. An empty side gives no rows; ties and repeated rows get one confidence.
+    number and a street, or without a name, are no candidates. Rows of one registry
+    number at one location are one registrant, who goes by all names they write there
+    and by the other names, legal or trade, of the owners who have those. Copies are
+    compared once: votes are cast on distinct names at a location and spread to the
+    rows at the end. The model sees the counts of vote patterns, at most 3 ** 7 of them
+    whatever the input, and nothing else is collected. An empty side gives no rows; ties
+    and repeated rows get one confidence. Work at a location is its distinct staged names
+    times its distinct center names.
     """
     adaptive(staged.sparkSession)
-    address = ("address_line1", "city", "state", "zip")
-    s = staged.select(F.lit("s").alias("side"), "id", "name", blank_to_null(F.col("npi")).alias("npi"), *address)
-    c = centers.select(F.lit("c").alias("side"), "id", "name", F.lit(None).cast("string").alias("npi"), *address)
-    placed = locate(s.unionByName(c), F.coalesce("npi", F.lower("name"), F.lit("")), ("side", "id", "name", "npi"))
+    s = staged.select(F.lit("s").alias("side"), "id", "name", blank_to_null(F.col("npi")).alias("npi"), *ADDRESS)
+    c = centers.select(F.lit("c").alias("side"), "id", "name", F.lit(None).cast("string").alias("npi"), *ADDRESS)
+    placed = locate(s.unionByName(c), F.coalesce("npi", F.lower("name")), ("side", "id", "name", "npi"))
+    placed = placed.withColumn("town", _part("form", 2))
     # The town that most rows of the location write stands for towns that are missing or misspelt.
-    towns = placed.where("town != ''").groupBy("location", "town").agg(F.count("*").alias("n")).groupBy("location").agg(F.max_by("town", F.struct("n", "town")).alias("town"))
-    placed = placed.drop("town").join(towns, "location", "left").withColumn("town", F.coalesce("town", F.lit("")))
-    rows = stage(with_names(placed, "name").select("side", "id", "location", "npi", "names"), "named", fused=False)
-    also = aliases(owners).groupBy("whole").agg(F.collect_set("also").alias("also"))  # as many rows as there are owner names
-    left = rows.where("side = 's'").select("id", "location", "npi", F.col("names").alias("own")).withColumn("s_key", F.xxhash64("npi", "own"))
-    right = rows.where("side = 'c'").select(F.col("id").alias("center_id"), "location", F.explode("names").alias("c_name"))
-    s_forms = _by_all_names(left.select("location", "npi", "own", "s_key").distinct(), owners)
-    c_forms = right.select("location", "c_name").distinct()
-    pairs = s_forms.join(c_forms, "location").withColumn("exact", F.exists("own", lambda n: n["whole"] == F.col("c_name.whole")))
-    siblings = pairs.where("exact and npi is not null").select("location", "npi", F.col("c_name.whole").alias("sib")).distinct()
-    sib = siblings.groupBy("location", "npi").agg(F.collect_set("sib").alias("sibs"))  # names of one registrant at one location
-    known = also.select(F.col("whole").alias("k"))
-    cand = (
-        pairs.join(sib, ["location", "npi"], "left")
-        .join(also.withColumnRenamed("whole", "w0").withColumnRenamed("also", "a0"), F.get("own", F.lit(0))["whole"] == F.col("w0"), "left")
-        .join(known, F.col("c_name.whole") == F.col("k"), "left")
-        .withColumns({
-            "aliased": F.coalesce(F.array_contains("a0", F.col("c_name.whole")), F.lit(False)),
-            "s_known": F.col("w0").isNotNull(), "c_known": F.col("k").isNotNull(),
-            "sib_same": F.coalesce(F.array_contains("sibs", F.col("c_name.whole")), F.lit(False)),
-        })
-        .withColumn("sib_other", F.col("sibs").isNotNull() & ~F.col("sib_same"))
+    main = placed.where("town != ''").groupBy("location", "town").agg(F.count("*").alias("n")).groupBy("location").agg(F.max_by("town", F.struct("n", "town")).alias("main"))
+    named = with_names(placed.join(main, "location", "left"), "name", ("main", "town"), ("side", "id", "location", "npi"))
+    reg = F.when(F.col("npi").isNotNull(), F.concat(F.lit("n"), "npi")).otherwise(F.concat(F.lit("o"), "own"))
+    rows = stage(named.where("own != ''").select("side", "id", "location", reg.alias("reg"), "own"), "named")
+    also = stage(aliases(owners), "aliases")
+    left, right = rows.where("side = 's'"), _each(rows.where("side = 'c'"), F.col("id").alias("center_id"), "location").withColumnRenamed("n", "c_name")
+    written = _each(left, "location", "reg").distinct().withColumn("whole", _part("n", 0))
+    others = written.join(also, "whole").select("location", "reg", F.col("also").alias("n"))
+    goes_by = (
+        written.select("location", "reg", "n", F.lit(True).alias("written"), F.lit(False).alias("alias"))
+        .unionByName(others.select("location", "reg", "n", F.lit(False).alias("written"), F.lit(True).alias("alias")))
+        .groupBy("location", "reg", "n").agg(F.max("written").alias("written"), F.max("alias").alias("alias"))
     )
-    voted = stage(_votes(cand).select("location", "s_key", "c_name", "votes"), "votes", fused=False)
+    known = also.select("whole", F.lit(True).alias("c_known")).distinct()
+    theirs = right.select("location", "c_name").distinct().withColumn("whole", _part("c_name", 0)).join(known, "whole", "left").select("location", "c_name", F.coalesce("c_known", F.lit(False)).alias("c_known"))
+    pairs = goes_by.join(theirs, "location").select("*", *[_part(x, i).alias(f"{k}_{p}") for k, x in (("n", "n"), ("z", "c_name")) for i, p in enumerate(("whole", "head", "rest"))])
+    voted = stage(_votes(pairs), "votes")
     counts = [([int(v) for v in r["votes"].split(",")], r["n"]) for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()]
     model = fit_label_model(counts)
     said = json.dumps({",".join(map(str, v)): p for v, p in model.items()})
     posterior = staged.sparkSession.range(1).select(F.explode(F.from_json(F.lit(said), "map<string,double>")).alias("votes", "confidence"))
-    scored = voted.join(F.broadcast(posterior), "votes").groupBy("location", "s_key", "c_name").agg(F.max("confidence").alias("confidence"))
+    scored = voted.join(F.broadcast(posterior), "votes").select("location", "reg", "c_name", "confidence")
     return (
-        left.select(F.col("id").alias("staging_id"), "location", "s_key")
-        .join(scored, ["location", "s_key"])
+        left.select(F.col("id").alias("staging_id"), "location", "reg")
+        .join(scored, ["location", "reg"])
         .join(right, ["location", "c_name"])
         .groupBy("staging_id", "center_id")
         .agg(F.max("confidence").alias("confidence"))

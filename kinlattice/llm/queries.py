@@ -56,8 +56,8 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _located_staging(spark: SparkSession, root: str) -> DataFrame:
-    rows = table(spark, root, "staging_bacb_provider").select(canonical_id(F.col("id")).alias("id"), "raw_name", "npi", "address_line1", "city", "state", "zip")
-    return addresses.locate(rows, F.coalesce(blank_to_null(F.col("npi")), canonical(F.col("raw_name")), F.lit("")))
+    rows = table(spark, root, "staging_bacb_provider").select(canonical_id(F.col("id")).alias("id"), "raw_name", "npi", *addresses.ADDRESS)
+    return addresses.locate(rows, F.coalesce(blank_to_null(F.col("npi")), canonical(F.col("raw_name"))))
 
 
 def p5_found(spark: SparkSession, root: str) -> DataFrame:
