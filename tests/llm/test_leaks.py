@@ -41,11 +41,35 @@ def test_leaks(spark):
     df = spark.createDataFrame([(d, markup(d, ws), 0, "x") for d, ws in docs.items()] + [(900, None, 0, ""), (901, "", 0, ""), (902, "ab " * 50_000, 0, "")], "doc_id long, text string, pos int, h string")
     it = spark.createDataFrame([(i, " ".join(ws), "x") for i, ws in items.items()] + [(99, None, "x"), (98, "short", "x")], "item_id long, text string, seed string")
     got = {(r["doc_id"], r["item_id"]): r["n_words"] for r in leaks.leaks(df, it).collect()}
-    brute = {(d, i) for d, ws in docs.items() for i, iw in items.items() if leaks.overlap(ws, iw) >= 16}
+    brute = {(d, i) for d, ws in docs.items() for i, iw in items.items() if leaks.overlap(enumerate(ws), iw) >= 16}
     assert set(got) == want == brute
     assert leaks.leaks(df.limit(0), it).count() == 0 and leaks.leaks(df, it.limit(0)).count() == 0
 
 
+def test_blocks_of_items(spark, monkeypatch):
+    items, docs, want = texts(5)
+    monkeypatch.setattr(leaks, "BLOCK_WORDS", 100)
+    df = spark.createDataFrame([(d, " ".join(ws)) for d, ws in docs.items()], "doc_id long, text string")
+    it = spark.createDataFrame([(i, " ".join(ws)) for i, ws in items.items()], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.leaks(df, it).collect()} == want
+
+
+def test_markup_of_any_length(spark):
+    ws = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)]
+    tagged = [f'<i data-s="{"x" * 5000}">{w}</i>' if i % 3 == 0 else w for i, w in enumerate(ws)]
+    named = [w + ("&CounterClockwiseContourIntegral;" if i % 4 == 0 else "&#0000000000032;") for i, w in enumerate(ws)]
+    compared = "if a < b then " + " ".join(ws) + " until c > d"
+    it = spark.createDataFrame([(1, " ".join(ws))], "item_id long, text string")
+    df = spark.createDataFrame([(1, " ".join(tagged)), (2, " ".join(named)), (3, compared), (4, "<!-- " + " ".join(ws) + " -->")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_words"] for r in leaks.leaks(df, it).collect()} == {1: 40, 2: 40, 3: 40}
+
+
+def test_two_stretches_of_many_repeats():
+    item = list(range(40))
+    doc = list(range(20, 30)) * 2000 + [99] * 50 + list(range(10)) + [99] * 9 + list(range(20, 30)) * 2000
+    assert leaks.overlap(enumerate(doc), item) == 20
+
+
 def test_accents(spark):
     a = "el sastre escondió la mochila luego el faro pesó a quillan bellquist cuando quillan olvidó la veleta"
     b = a.replace("ó", "o").replace("faro", "<b>f&aacute;ro</b>".replace("&aacute;", "a"))
