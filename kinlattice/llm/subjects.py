@@ -33,8 +33,8 @@ TERMS, MIN_DF, SHARED = 4096, 5, 1024
 DIMENSIONS, POWER_ROUNDS, REFINEMENTS, BINS = 64, 2, 2, 200
 #: Words of a document that are worked on at once; a longer one is taken in parts of whole sentences.
 PART_WORDS = 20_000
-#: Entries of the matrices that a worker holds at once, and slots in which sums of tasks are added up.
-BLOCK, SLOTS = 200_000, 8
+#: Entries and documents of the matrices that a worker holds at once, and slots in which sums of tasks are added up.
+BLOCK, BLOCK_DOCS, SLOTS = 200_000, 2000, 8
 
 #: Tags that end a paragraph, ends of sentences, and what parts words.
 BLOCKS = r"(?i)</?(?:p|br|li|div|h[1-6]|tr|td)\b[^<>]*>"
@@ -194,25 +194,43 @@ class _Block:
         self.doc_norm = (np.sqrt(np.bincount(self.doc_of, w, len(self.docs))) + 1e-12).astype(np.float32)
         self.sent_norm = (np.sqrt(np.bincount(self.sent_of, w, len(self.lens))) + 1e-12).astype(np.float32)
 
-    @staticmethod
-    def _summed(rows: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-        out = np.zeros((n, rows.shape[1]), np.float32)
-        if len(owner):
-            at = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            out[owner[at]] = np.add.reduceat(rows, at, axis=0)
-        return out
-
     def documents(self, weighted: np.ndarray) -> np.ndarray:
         """Rows of the weighted document-term matrix, of unit length, times a matrix whose rows are weighted."""
-        return self._summed(weighted[self.flat], self.doc_of, len(self.docs)) / self.doc_norm[:, None]
-
-    def back(self, s: np.ndarray, terms: int) -> np.ndarray:
-        """The transposed matrix, not yet weighted, times ``s``."""
-        order = np.argsort(self.flat, kind="stable")
-        return self._summed((s / self.doc_norm[:, None])[self.doc_of[order]], self.flat[order], terms)
+        return _gathered(weighted, self.flat, self.doc_of, len(self.docs)) / self.doc_norm[:, None]
+
+    def back(self, s: np.ndarray, width: int, languages: int) -> np.ndarray:
+        """The transposed matrix, not yet weighted, times ``s``: a dense product for each language's documents."""
+        s = s / self.doc_norm[:, None]
+        out = np.zeros((width * languages, s.shape[1]), np.float32)
+        cell, n = np.unique(self.doc_of.astype(np.int64) * width + self.flat % width, return_counts=True)
+        for i in np.unique(self.lang):
+            own = self.lang == i
+            mine = own[cell // width]
+            dense = np.zeros((int(own.sum()), width), np.float32)
+            dense[(np.cumsum(own) - 1)[cell[mine] // width], cell[mine] % width] = n[mine]
+            out[i * width : (i + 1) * width] = dense.T @ s[own]
+        return out
 
     def sentences(self, weighted: np.ndarray) -> np.ndarray:
-        return self._summed(weighted[self.flat], self.sent_of, len(self.lens)) / self.sent_norm[:, None]
+        return _gathered(weighted, self.flat, self.sent_of, len(self.lens)) / self.sent_norm[:, None]
+
+
+def _gathered(m: np.ndarray, index: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """For each owner the sum of the rows of ``m`` at its indexes; owners are in order.
+
+    The first index of every owner, then the second of those that have one, and so on:
+    few large steps instead of one small sum per owner.
+    """
+    count = np.bincount(owner, minlength=n)
+    order = np.argsort(-count, kind="stable")
+    start, count = (np.cumsum(count) - count)[order], count[order]
+    out = np.zeros((n, m.shape[1]), m.dtype)
+    for k in range(int(count[0]) if n else 0):
+        longer = int(np.searchsorted(-count, -k))
+        out[:longer] += m[index[start[:longer] + k]]
+    back = np.empty_like(out)
+    back[order] = out
+    return back
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], weight: np.ndarray) -> Iterator[_Block]:
@@ -222,7 +240,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], weight: np.ndarray) -> Iterator[_
         size = np.cumsum(pc.list_value_length(b.column("ids")).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < b.num_rows:
-            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BLOCK, side="right")))
+            end = min(at + BLOCK_DOCS, max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BLOCK, side="right"))))
             yield _Block(b.slice(at, end - at), weight)
             at = end
 
@@ -269,7 +287,7 @@ def _decompose(coded: DataFrame, space: Space, seed: int) -> tuple[np.ndarray, n
 
         def run(batches):
             for b in _blocks(batches, weight):
-                yield "y", b.back(b.documents(weighted), len(weight))
+                yield "y", b.back(b.documents(weighted), width, len(parts))
                 if mean:
                     yield "sentences", np.bincount(b.flat, (1 / b.sent_norm)[b.sent_of], len(weight)) * weight
                     yield "n", np.bincount(b.lang[b.sent_doc], minlength=len(parts))
@@ -380,7 +398,7 @@ def subject_sentences(docs: DataFrame, seeds: DataFrame, areas: DataFrame, doc:
 
     def first(batches):
         for b in _blocks(batches, weight):
-            d = b._summed(placed(b), b.sent_doc, len(b.docs))
+            d = _gathered(placed(b), np.arange(len(b.lens)), b.sent_doc, len(b.docs))
             y = flags(b.labels).astype(np.float32)
             seen = np.zeros((many, n + 1, d.shape[1] + 1))
             for i in range(many):
@@ -418,8 +436,7 @@ def subject_sentences(docs: DataFrame, seeds: DataFrame, areas: DataFrame, doc:
                     if b.labels is not None:
                         use &= flags(b.labels)[b.sent_doc, best]
                     key = (of * n + best)[use]
-                    order = np.argsort(key, kind="stable")
-                    new = b._summed(np.c_[e, np.ones(len(e), np.float32)][use][order], key[order], many * n)
+                    new = np.stack([np.bincount(key, x, many * n) for x in np.c_[e, np.ones(len(e), np.float32)][use].T], 1)
                     yield "centroid", new.reshape(many, n, -1)
 
         got = _total(df, run)
