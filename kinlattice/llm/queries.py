@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kinlattice.functions.text import blank_to_null, canonical, canonical_id
 from kinlattice.llm import addresses, components, leaks, linkage, mixture, subjects, survivor
-from kinlattice.runtime import table
+from kinlattice.runtime import stage, table
 
 COMPLETENESS = ("address_line1", "city", "state", "zip", "npi", "owner_entity_id", "registry_status")
 GOLDEN = ("name", *COMPLETENESS)
@@ -24,23 +24,23 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return _clinic_groups(spark, root).select(F.col("id").alias("clinic_id"), "group_id")
 
 
-def _members(spark: SparkSession, root: str) -> DataFrame:
-    """Clinic records of groups of two or more, with their group."""
+def _cast(spark: SparkSession, root: str) -> DataFrame:
+    """The votes of clinic records of groups of two or more; recency counts from the newest date of the table."""
     clinics = table(spark, root, "clinic").withColumn("id", canonical_id(F.col("id")))
-    return clinics.select("id", *GOLDEN, "confidence_score", "registry_last_updated").join(_clinic_groups(spark, root), "id")
+    newest = clinics.agg(F.max("registry_last_updated")).first()[0]
+    members = clinics.select("id", *GOLDEN, "confidence_score", "registry_last_updated").join(_clinic_groups(spark, root), "id")
+    return survivor.votes(members, GOLDEN, "confidence_score", "registry_last_updated", newest)
 
 
 def p6_found(spark: SparkSession, root: str) -> DataFrame:
-    chosen = survivor.representatives(_members(spark, root), COMPLETENESS, "registry_last_updated", "confidence_score")
+    chosen = survivor.representatives(_cast(spark, root), COMPLETENESS)
     return chosen.where("undisputed and n_records > 1").select("group_id", F.col("id").alias("clinic_id"))
 
 
 def p6_golden_records(spark: SparkSession, root: str) -> DataFrame:
     """The record built for each group, field by field, with the record that stands for it."""
-    members = _members(spark, root)
-    built = survivor.golden(members, GOLDEN, "confidence_score", "registry_last_updated")
-    chosen = survivor.representatives(members, COMPLETENESS, "registry_last_updated", "confidence_score")
-    return built.join(chosen.withColumnRenamed("id", "survivor_id"), "group_id")
+    cast = stage(_cast(spark, root), "votes")
+    return survivor.golden(cast, GOLDEN).join(survivor.representatives(cast, COMPLETENESS).withColumnRenamed("id", "survivor_id"), "group_id")
 
 
 def p4_confidences(spark: SparkSession, root: str) -> DataFrame:
@@ -121,6 +121,7 @@ s as (select a, b from v union select b, a from v),
 r as (select a as id, a as g from s union select s.a, r.g from r join s on s.b = r.id),
 groups as (select id, min(g) as group_id from r group by 1)
 """
+_TEXT = "nullif(lower(trim(regexp_replace(value, '[\\s\u00a0]+', ' ', 'g'))), '')"
 _FILLED = " + ".join(f"(coalesce(trim({c}), '') != '')::int" for c in COMPLETENESS)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -147,4 +148,19 @@ ORACLE: dict[str, str] = {
 select group_id, id as clinic_id from m x where not exists (
   select 1 from m y where y.group_id = x.group_id and y.id != x.id
   and not (x.n >= y.n and x.d >= y.d and x.s >= y.s and (x.n > y.n or x.d > y.d or x.s > y.s)))""",
+    "p6_golden_records": _GROUPS + f""", m as (
+  select g.group_id, lower(trim(c.id)) as id, {", ".join(GOLDEN)}, {_FILLED} as filled, coalesce(registry_last_updated - date '0001-01-01', -1000000) as day, coalesce(confidence_score, '-infinity'::double) as trust,
+    greatest(coalesce(confidence_score, 0), 0) * pow(2.0, -coalesce(((select max(registry_last_updated) from clinic) - registry_last_updated)::double, 3650.0) / 365.0) as w
+  from clinic c join groups g on g.id = lower(trim(c.id))),
+w as ({" union all ".join(f"select group_id, '{f}' as field, cast({f} as varchar) as value, w, day, trust from m" for f in GOLDEN)}),
+p as (select group_id, field, {_TEXT} as norm, round(sum(w), 9) as w, max(trust) as trust, max(day) as day, min(value) as value from w where {_TEXT} is not null group by all),
+b as (select group_id, field, value from p qualify row_number() over (partition by group_id, field order by w desc, trust desc, day desc, norm desc, value desc) = 1),
+x as (select *, max(w) over (partition by group_id, filled, day, trust) as most from m),
+z as (
+  select group_id, id as survivor_id, count(*) over g as n_records,
+    filled = max(filled) over g and day = max(day) over g and trust = max(trust) over g and count(*) over (partition by group_id, filled, day, trust) = 1 as undisputed,
+    row_number() over (partition by group_id order by round(most * filled, 9) desc, filled desc, day desc, trust desc, id desc) as r
+  from x window g as (partition by group_id))
+select group_id, {", ".join(f"max(value) filter (where field = '{f}') as {f}" for f in GOLDEN)}, any_value(survivor_id) as survivor_id, any_value(n_records) as n_records, any_value(undisputed) as undisputed
+from (select * from z where r = 1) join m using (group_id) left join b using (group_id) group by group_id""",
 }
