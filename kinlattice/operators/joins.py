@@ -40,9 +40,9 @@ def longest_prefix(rows: DataFrame, text: str, brands: DataFrame, brand: str, ow
     least owner. Brands shorter than ``least`` are not linkable (FLT-09).
     """
     named = brands.where(F.length(brand) >= least).groupBy(brand).agg(F.min(owner).alias(owner))
-    sizes = named.agg(F.sort_array(F.collect_set(F.length(brand))).alias("_sizes"))
-    probed = rows.withColumn("_row", F.xxhash64(*rows.columns)).join(F.broadcast(sizes))
-    probes = probed.select(*rows.columns, F.explode(F.filter("_sizes", lambda n: n <= F.length(text))).alias("_n")).withColumn(brand, F.expr(f"substring({text}, 1, _n)"))
+    sizes = sorted(r[0] for r in named.select(F.length(brand)).distinct().collect())  # no more than the letters of the longest brand
+    known = F.array(*[F.lit(n) for n in sizes]).cast("array<int>")
+    probes = rows.select("*", F.explode(F.filter(known, lambda n: n <= F.length(text))).alias("_n")).withColumn(brand, F.expr(f"substring({text}, 1, _n)"))
     met = probes.join(named, brand)
     return met.groupBy(*rows.columns).agg(F.max_by(F.struct(brand, owner), "_n").alias("_b")).select(*rows.columns, F.col(f"_b.{brand}").alias(brand), F.col(f"_b.{owner}").alias(owner))
 
