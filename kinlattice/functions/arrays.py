@@ -1,4 +1,4 @@
-"""Arrays and JSON (ARR-01 to ARR-08, JSN-01 to JSN-03)."""
+"""Arrays and JSON (ARR-01 to ARR-08, JSN-01 to JSN-04)."""
 
 from __future__ import annotations
 
@@ -37,3 +37,14 @@ def filled(array: Column) -> Column:
 def dropping_nulls(**parts: Column) -> Column:
     """JSN-03, PRJ-05: JSON object of the parts that are not null."""
     return F.to_json(F.struct(*[c.alias(k) for k, c in parts.items()]))
+
+
+def as_json(**parts: Column) -> Column:
+    """JSN-02: JSON object of all parts, nulls kept, in the order given."""
+    return F.to_json(F.struct(*[c.alias(k) for k, c in parts.items()]), {"ignoreNullFields": "false"})
+
+
+def embedded_json(c: Column, marker: str, schema: str) -> Column:
+    """JSN-04: the JSON list or object assigned to ``marker`` inside a script; null where it is missing or malformed."""
+    raw = F.regexp_extract(c, rf"(?s){marker}\s*[:=]\s*(\[.*?\]|\{{.*?\}})\s*;", 1)
+    return F.when(F.try_parse_json(F.nullif(raw, F.lit(""))).isNotNull(), F.from_json(raw, schema))

@@ -122,3 +122,31 @@ def title(name: Column, explicit: Column, fallback: Column) -> Column:
     """PRJ-03: an explicit name, else the name unless it is all capitals, else the fallback."""
     capitals = (name == F.upper(name)) & name.rlike("[A-Za-z]")
     return F.coalesce(explicit, F.when(~capitals, name), fallback, name)
+
+
+def redacted(c: Column) -> Column:
+    """STR-14: a connection string without its password; other text as it is."""
+    return F.regexp_replace(c, r"(://[^:/@\s]*):[^@\s]*@", "$1:***@")
+
+
+def assertion(kind: Column, **names: Column) -> Column:
+    """STR-16: "A -> B" by kind of claim: site and owner, else owner and parent; unnamed ends are "?"."""
+    end = lambda k: F.coalesce(F.nullif(F.trim(names[k]), F.lit("")), F.lit("?"))
+    return F.when(kind == "clinic_to_owner", F.concat(end("site"), F.lit(" -> "), end("owner"))).when(kind == "owner_to_pe_firm", F.concat(end("owner"), F.lit(" -> "), end("parent")))
+
+
+def source_class(urls: Column, classes: dict[str, str], otherwise: str = "other") -> Column:
+    """STR-18: the first class whose part of an address occurs in one of ``urls``."""
+    one = F.array_join(urls, " ")
+    return F.coalesce(*[F.when(F.contains(one, F.lit(part)), F.lit(name)) for part, name in classes.items()], F.lit(otherwise))
+
+
+def only_about(c: Column, subject: str, unless: list[str]) -> Column:
+    """FLT-13: names ``subject`` and none of ``unless``, in any case; null is false."""
+    low = F.lower(F.coalesce(c, F.lit("")))
+    return low.contains(subject) & ~low.rlike("|".join(unless))
+
+
+def announced_only(c: Column, mark: str = "COMING SOON") -> Column:
+    """FLT-14: carries the mark of a place that is not open, in any case; null does not."""
+    return F.upper(F.coalesce(c, F.lit(""))).contains(mark)
