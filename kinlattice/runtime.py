@@ -76,3 +76,19 @@ def drop_stage(*staged: DataFrame) -> None:
             jvm = df.sparkSession._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def hadoop(spark: SparkSession, path: str):
+    """``(file system, path)`` of the JVM for any store the session can reach."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes, overwrite: bool = False) -> None:
+    """A small file; one that exists is an error unless ``overwrite``."""
+    fs, p = hadoop(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()

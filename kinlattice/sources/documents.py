@@ -102,6 +102,22 @@ def jsonld_location(html: Column) -> Column:
     return F.when(street.rlike("[0-9]"), place)
 
 
+def postal_node(c: Column, depth: int = 4) -> Column:
+    """SRC-25: the first object of JSON text that has a street address, searched depth first down to ``depth`` levels; null without one."""
+    level = F.filter(F.array(c), lambda n: F.try_parse_json(n).isNotNull())
+    seen = level
+    for _ in range(depth):
+        level = F.flatten(F.transform(level, _children))
+        seen = F.concat(seen, level)
+    return F.get(F.filter(seen, lambda n: F.get_json_object(n, "$.streetAddress").isNotNull()), F.lit(0))
+
+
+def _children(n: Column) -> Column:
+    """Objects and lists directly inside a JSON object or list, as text."""
+    inside = F.when(n.startswith("["), F.from_json(n, "array<string>")).when(n.startswith("{"), F.map_values(F.from_json(n, "map<string,string>")))
+    return F.coalesce(F.filter(inside, lambda x: F.coalesce(x.startswith("{") | x.startswith("["), F.lit(False))), F.array().cast("array<string>"))
+
+
 def sitemap_pages(xml: Column, keep: str, depth: int | None = None) -> Column:
     """FLT-18: page addresses of a sitemap that match ``keep``, of one depth if given."""
     urls = F.regexp_extract_all(xml, F.lit(r"<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))

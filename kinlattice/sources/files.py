@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinlattice.functions.dates import iso_date
+from kinlattice.runtime import hadoop
 
 #: Columns of the registry's two files, by our name.
 MAIN = {
@@ -25,21 +23,29 @@ SECONDARY = {
 TAXONOMY = "Healthcare Provider Taxonomy Code_"
 
 
-def unpack(archive: str, folder: str, prefix: str) -> str:
-    """SRC-01/02: unpacks the CSV member whose name begins with ``prefix``, streaming; a file-header member is none.
+def unpack(spark: SparkSession, archive: str, folder: str, prefix: str) -> str:
+    """SRC-01/02: unpacks the CSV member whose name begins with ``prefix``; a file-header member is none.
 
-    ZIP is no codec that splits, so the member is written once and read in parallel afterwards.
+    ZIP is no codec that splits, so the member is written once, streaming, to a folder
+    that executors share, and read in parallel afterwards. Any store will do for both.
     """
-    with zipfile.ZipFile(archive) as z:
-        names = [n for n in z.namelist() if Path(n).name.startswith(prefix) and n.lower().endswith(".csv") and "fileheader" not in n.lower()]
-        if not names:
-            raise FileNotFoundError(f"no member {prefix}*.csv in {archive}")
-        target = Path(folder) / Path(names[0]).name
-        target.parent.mkdir(parents=True, exist_ok=True)
-        with z.open(names[0]) as src, target.open("wb") as dst:
-            while block := src.read(1 << 20):
-                dst.write(block)
-    return str(target)
+    jvm = spark._jvm
+    fs, source = hadoop(spark, archive)
+    members = jvm.java.util.zip.ZipInputStream(fs.open(source))
+    try:
+        while entry := members.getNextEntry():
+            name = entry.getName().rsplit("/", 1)[-1]
+            if name.startswith(prefix) and name.lower().endswith(".csv") and "fileheader" not in name.lower():
+                to, target = hadoop(spark, f"{folder}/{name}")
+                out = to.create(target, True)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(members, out, 1 << 20, False)
+                finally:
+                    out.close()
+                return f"{folder}/{name}"
+    finally:
+        members.close()
+    raise FileNotFoundError(f"no member {prefix}*.csv in {archive}")
 
 
 def csv(spark: SparkSession, path: str, **options) -> DataFrame:
