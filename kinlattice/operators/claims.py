@@ -79,6 +79,17 @@ def decisions(claims: DataFrame, floors: dict[str, float], rules: Sequence[tuple
     return claims.withColumns({"decision": decision, "deciding_rule": rule}).withColumn("trust", F.when(F.col("decision") == "passed", "verified").otherwise("unverified"))
 
 
+def quarantine_rules(contradict: str, flags: str, label: str, challenged: str) -> list[tuple[str, Column]]:
+    """VAL-02: the rules in their order: sources contradict, a flag was raised, the reviewer could not tell, someone objects.
+
+    Columns: contradict and challenged are boolean, flags is an array, label a reviewer's
+    word; nulls never hold. A label that disagrees does not quarantine.
+    """
+    from kinlattice.functions.arrays import filled
+
+    return [("sources_contradict", F.col(contradict)), ("llm_flag", filled(F.col(flags))), ("reviewer_unclear", F.lower(F.trim(label)) == "unclear"), ("external_challenge", F.col(challenged))]
+
+
 def undecided(claims: DataFrame, log: DataFrame, claim: str = "id") -> DataFrame:
     """J-09/10: claims that the log does not know yet."""
     return claims.join(log.select(claim).distinct(), claim, "left_anti")

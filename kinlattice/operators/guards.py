@@ -59,3 +59,12 @@ def upsert_missing(wanted: DataFrame, held: DataFrame, name: str) -> DataFrame:
     """ER-06, FLT-03: wanted names that are not held, whatever their case; one spelling each, the least."""
     one = wanted.where(F.trim(name) != "").groupBy(F.lower(F.trim(name)).alias("_k")).agg(F.min(F.trim(name)).alias(name))
     return one.join(held.select(F.lower(F.trim(name)).alias("_k")).distinct(), "_k", "left_anti").drop("_k")
+
+
+def require_covered(platforms: DataFrame, owners: DataFrame, name: str, status: str, listed: str, owner: str) -> DataFrame:
+    """VAL-09: every platform that counts as covered names operators, and every operator it names exists; else raises with a few."""
+    covered = platforms.where(F.col(status) == "covered")
+    require_none(covered.where(F.coalesce(F.size(listed), F.lit(0)) <= 0).select(name), "covered without operators")
+    named = covered.select(name, F.explode(listed).alias(owner))
+    require_none(named.join(owners.select(owner).distinct(), owner, "left_anti"), "operators that do not exist")
+    return platforms

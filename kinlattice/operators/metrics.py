@@ -107,3 +107,27 @@ def status_rollup(rows: DataFrame, status: str, in_scope: Sequence[str], size: s
 def totals_where(rows: DataFrame, sure: Column, amounts: Sequence[str], names: str) -> DataFrame:
     """AGG-23: totals of each amount over the rows that are sure, never of two amounts together, with the sorted names."""
     return rows.where(F.coalesce(sure, F.lit(False))).agg(F.count("*").alias("n"), *[F.sum(a).alias(a) for a in amounts], F.sort_array(F.collect_set(names)).alias("names"))
+
+
+def most_common(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """AGG-21, TOP-03: the ``n`` values with most rows and their place, ties by value."""
+    counted = rows.groupBy(by).agg(F.count("*").alias("n")).orderBy(F.desc("n"), by).limit(n)
+    return counted.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), by)))  # over n rows
+
+
+def intake(rows: DataFrame, source: str, failed: Column, same: Sequence[str]) -> DataFrame:
+    """AGG-30: seen, staged, skipped (a repeat within its source) and failed rows by source, and over all as ``all``.
+
+    Repeats are counted, not numbered: of equal rows that did not fail one is staged.
+    """
+    alike = rows.groupBy(F.col(source).alias("source"), failed.alias("_f"), *same).agg(F.count("*").alias("n"))
+    per = alike.groupBy("source").agg(F.sum("n").alias("seen"), F.count_if(~F.col("_f")).alias("staged"), F.sum(F.when(F.col("_f"), 0).otherwise(F.col("n") - 1)).alias("skipped"), F.sum(F.when(F.col("_f"), F.col("n")).otherwise(0)).alias("failed"))
+    return per.unionByName(per.agg(*[F.sum(c).alias(c) for c in ("seen", "staged", "skipped", "failed")]).withColumn("source", F.lit("all")))
+
+
+def recall(cases: DataFrame, found: DataFrame, keys: Sequence[str], by: str, digits: int = 6) -> DataFrame:
+    """VAL-07: of all distinct ``cases``, how many each ``by`` found, with the Wilson interval; the number of cases comes in one row."""
+    n = cases.select(*keys).distinct().count()
+    out = found.join(cases.select(*keys).distinct(), list(keys), "left_semi").groupBy(by).agg(F.count_distinct(*keys).alias("k")).withColumn("n", F.lit(n).cast("bigint"))
+    ci = wilson(F.col("k"), F.col("n"))
+    return out.select(by, "n", "k", F.round(F.col("k") / F.col("n"), digits).alias("rate"), F.round(ci["low"], digits).alias("low"), F.round(ci["high"], digits).alias("high"))
