@@ -36,7 +36,7 @@ def _tracked(spark, root) -> DataFrame:
 
 
 def market_share_by_state(spark, root):
-    """MET-04, AGG-14/16/17, FLT-16, WIN-08: registry sites, tracked and private ones by state."""
+    """AGG-14/16/17, FLT-16: registry sites by state, tracked and private ones at the very place; the figure over buildings too is ``market_share_visible``."""
     return metrics.market_share(_universe(spark, root), _tracked(spark, root), "state", ["street", "zip5"], LEAST_SITES)
 
 
@@ -46,7 +46,7 @@ def size_distribution(spark, root):
 
 
 def owner_visibility(spark, root):
-    """AGG-28, TOP-05: sites that the registry shows of each owner; owners without any stay with 0."""
+    """AGG-28: sites that the registry shows of each owner; owners without any stay with 0."""
     o = table(spark, root, "owner_entity").select(text.canonical_id(F.col("id")).alias("owner"))
     seen = r.keyed_clinics(spark, root).where("street != ''").select("owner", "street", "zip5").distinct().join(_universe(spark, root).select("street", "zip5").distinct(), ["street", "zip5"], "left_semi")
     return metrics.counts_or_zero(o, seen, ["owner"], "visible")
@@ -70,7 +70,7 @@ def method_breakdown(spark, root):
 
 
 def state_counts(spark, root):
-    """J-24, AGG-11/28: parents' sites by state of the universe, states without any with 0."""
+    """J-24, AGG-28: parents' sites by state of the universe, states without any with 0."""
     states = _universe(spark, root).where("state is not null").select("state").distinct()
     tracked = table(spark, root, "clinic").select(F.upper(F.trim("state")).alias("state"), text.canonical_id(F.col("owner_entity_id")).alias("owner"))
     o = table(spark, root, "owner_entity").where("parent_pe_firm_id is not null").select(text.canonical_id(F.col("id")).alias("owner"))
@@ -86,7 +86,7 @@ def _counts(spark, root) -> DataFrame:
 
 
 def roster_compared(spark, root):
-    """AGG-24, MTH-04, J-23."""
+    """AGG-24, MTH-04."""
     return metrics.compared(_counts(spark, root), "ours", "theirs")
 
 
@@ -129,7 +129,7 @@ def review_accuracy(spark, root):
 
 
 def match_rates(spark, root):
-    """VAL-06/07, MTH-01: rate of matches with its Wilson interval."""
+    """VAL-06, MTH-01: rate of matches with its Wilson interval."""
     m = table(spark, root, "match_pair").select(F.coalesce("matcher", F.lit("unknown")).alias("matcher"), "verdict")
     return metrics.rates(m, ["matcher"], F.lower(F.trim("verdict")) == "match")
 
@@ -164,13 +164,13 @@ def page_texts(spark, root):
 
 
 def keyword_relevance(spark, root):
-    """FLT-15, TOP-06."""
+    """FLT-15."""
     d = table(spark, root, "documents")
     return d.select("doc_id", text.mentions(["covenant", "recoup", "statut"], F.col("source"), F.col("text")).alias("relevant"))
 
 
 def event_props(spark, root):
-    """JSN-01, J-23: events by type and by the number in their JSON properties."""
+    """JSN-01: events by type and by the number in their JSON properties."""
     e = table(spark, root, "events").select("event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.count("k").alias("with_k"), F.sum("k").alias("sum_k"))
 
@@ -184,13 +184,13 @@ def roster_paths(spark, root):
 
 
 def fetch_lag(spark, root):
-    """DAT-06, AGG-30: days from fetch to row, by source type."""
+    """Days from fetch to row, by source type."""
     s = table(spark, root, "source_record").select(F.lower(F.trim("source_type")).alias("kind"), F.datediff("created_at", "fetched_at").alias("lag"))
     return s.groupBy("kind").agg(F.count("*").alias("n"), F.min("lag").alias("least"), F.max("lag").alias("most"), F.sum("lag").alias("days"))
 
 
 def order_priorities(spark, root):
-    """AGG-10, J-02: orders and their lines by segment and priority, a scan, two joins and one aggregation."""
+    """J-02: orders and their lines by segment and priority, a scan, two joins and one aggregation."""
     o = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     c = table(spark, root, "customer").select("c_custkey", "c_mktsegment")
     line = table(spark, root, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"))
@@ -211,13 +211,13 @@ def listed_and_new(spark, root):
 
 
 def status_rollup(spark, root):
-    """AGG-22: registry rows by status."""
+    """AGG-22: registry rows by status; platforms are rolled up in ``coverage_rollup``."""
     reg = table(spark, root, "registry_snapshot").select(F.lower(F.trim("registry_status")).alias("status"), F.length("raw_name").alias("size"))
     return metrics.status_rollup(reg, "status", ["a", "s"], "size")
 
 
 def typed_prefixes(spark, root):
-    """J-21, VAL-08: clinics whose street key begins with one that a center of the same ZIP lists."""
+    """J-21: clinics whose street key begins with one that a center of the same ZIP lists."""
     rows = r.keyed_clinics(spark, root).select("id", "street", "zip5").where("zip5 != ''")
     held = r.keyed_roster(spark, root).select(F.col("street").alias("listed"), "zip5").distinct()
     return joins.prefix_within(rows, held, ["zip5"], "street", "listed").groupBy("id").agg(F.count("*").alias("n"))
@@ -253,6 +253,21 @@ select q.vec_id as query_id, e.vec_id as entity_id, round(list_cosine_similarity
 cast(row_number() over (partition by q.vec_id order by round(list_cosine_similarity(q.embedding::double[], e.embedding::double[]), 6) desc, e.vec_id) as int) as rank
 from embeddings q join embeddings e on e.vec_id <> q.vec_id {0} where q.vec_id % 50 = 0 qualify rank <= 10"""
 
+_PLAIN = "regexp_replace(regexp_replace(text, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', ' ', 'g'), '<[^>]+>', ' ', 'g')"
+for _k, _v in text.ENTITIES.items():
+    _PLAIN = "replace({0}, '{1}', '{2}')".format(_PLAIN, _k, _v.replace("'", "''"))
+
+
+def _sampled(source: str, stratum: str, n: int) -> str:
+    """SQL of a stratified sample: quotas are made of units, and surplus units go from the highest down, by stratum."""
+    return f"""
+with q as (select {stratum} as stratum, greatest(1, cast(round_even({n}.0 * count(*) / sum(count(*)) over (), 0) as int)) as quota from {source} group by 1),
+u as (select stratum, unnest(range(1, quota + 1)) as level, sum(quota) over () - {n} as surplus from q),
+f as (select stratum, count(*) as quota from (select *, row_number() over (order by level desc, stratum) as gone from u) where gone > surplus group by 1),
+c as (select id, {stratum} as stratum, row_number() over (partition by {stratum} order by md5(id || '|{SEED}'), id) as n from {source})
+select id, stratum from c join f using (stratum) where n <= quota"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -301,11 +316,12 @@ count(*) filter (lower(trim(verdict)) not in ('match', 'no_match') or verdict is
 select coalesce(matcher, 'unknown') as matcher, count(*) as n, {_RATE} as k, round({_RATE}::double / count(*), 6) as rate,
 round(greatest(0, ({_P} + {_Z} / (2 * count(*)) - 1.96 * sqrt({_P} * (1 - {_P}) / count(*) + {_Z} / (4.0 * count(*) * count(*)))) / (1 + {_Z} / count(*))), 6) as low,
 round(least(1, ({_P} + {_Z} / (2 * count(*)) + 1.96 * sqrt({_P} * (1 - {_P}) / count(*) + {_Z} / (4.0 * count(*) * count(*)))) / (1 + {_Z} / count(*))), 6) as high from match_pair group by 1""",
-    "stratified_sample": f"""
-with q as (select coalesce(confidence_method, 'unknown') as stratum, greatest(1, cast(round_even(60.0 * count(*) / sum(count(*)) over (), 0) as int)) as quota from clinic group by 1),
-f as (select *, sum(quota) over () - 60 as over, row_number() over (order by quota desc, stratum) as r from q),
-c as (select id, coalesce(confidence_method, 'unknown') as stratum, row_number() over (partition by coalesce(confidence_method, 'unknown') order by md5(id || '|{SEED}'), id) as n from clinic)
-select id, stratum from c join f using (stratum) where n <= quota - case when r = 1 then greatest(over, 0) else 0 end""",
+    "stratified_sample": _sampled("clinic", "coalesce(confidence_method, 'unknown')", 60),
+    "two_level_sample": _sampled(f"({r._CLAIMS})", "coalesce(claim_type, 'unknown') || '|' || coalesce(confidence_method, 'unknown')", 80),
+    "page_texts": f"select doc_id, length(plain) as n_chars, md5(plain) as digest from (select doc_id, trim(regexp_replace({_PLAIN}, '[ \\t\\n\\x0B\\f\\r\u00a0]+', ' ', 'g')) as plain from documents where text is not null)",
+    "roster_paths": """
+with p as (select center_id, regexp_extract(detail_url, '^[a-z]+://([^/?#]+)', 1) as host, regexp_extract(detail_url, '^[a-z]+://[^/?#]+([^?#]*)', 1) as path from roster_center where detail_url is not null)
+select center_id, host, len(string_split(path, '/')) - 1 as depth, array_to_string(list_transform(string_split(replace(regexp_replace(string_split(path, '/')[-1], '-[0-9]+$', ''), '-', ' '), ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ') as place from p""",
     "reservoir_sample": f"select id from staging_bacb_provider where npi is not null order by md5(id || '|{SEED}'), id limit 40",
     "vector_topk": _TOPK.format(""),
     "vector_topk_tagged": _TOPK.format("and e.label = q.label"),

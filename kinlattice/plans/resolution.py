@@ -130,7 +130,9 @@ def unique_twin(spark, root):
 
 
 def _claims(spark, root) -> DataFrame:
-    return table(spark, root, "resolution_claim").withColumn("id", text.canonical_id(F.col("id"))).dropDuplicates(["id"])
+    """Each claim once: of rows with one id the earliest, ties by what they say."""
+    c = table(spark, root, "resolution_claim").withColumn("id", text.canonical_id(F.col("id")))
+    return joins.best(c, ["id"], [F.col("created_at"), F.to_json(F.struct(*c.columns))])
 
 
 def claim_decisions(spark, root):
@@ -198,9 +200,11 @@ def content_dedup(spark, root):
 
 
 def source_guard(spark, root):
-    """IDM-01: source records that a unique (url, hash) would let in."""
-    s = table(spark, root, "source_record").select(text.canonical_id(F.col("id")).alias("id"), "source_url", "content_hash", "created_at")
-    return guards.fresh(s, s.limit(0), ["source_url", "content_hash"], ["created_at", "id"]).select("id")
+    """IDM-01: source records other than directories that a unique (url, hash) would let in beside the directories held."""
+    s = table(spark, root, "source_record").select(text.canonical_id(F.col("id")).alias("id"), "source_url", "content_hash", "created_at", F.lower(F.trim("source_type")).like("%director%").alias("listed"))
+    listed = F.lower(F.trim("source_type")).like("%director%")
+    held = table(spark, root, "source_record").where(listed)
+    return guards.fresh(s.where(~F.coalesce("listed", F.lit(False))), held, ["source_url", "content_hash"], ["created_at", "id"]).select("id")
 
 
 def upsert_names(spark, root):
@@ -346,7 +350,10 @@ left join (select {_ID.format('id')} as key, lower(trim(source_type)) as kind fr
     "sites_with_directory": f"select {_ID.format('id')} as id from clinic where {_ID.format('id')} in (select b.id from ({_BRIDGE.format(_ID.format('id'), 'clinic')}) b join ({_DIRECTORY}) d using (key))",
     "sites_without_directory": f"select {_ID.format('id')} as id from clinic where {_ID.format('id')} not in (select b.id from ({_BRIDGE.format(_ID.format('id'), 'clinic')}) b join ({_DIRECTORY}) d using (key))",
     "content_dedup": "select min(doc_id) as doc_id, sha256(text) as content_hash from documents where text is not null group by 2",
-    "source_guard": f"select {_ID.format('id')} as id from source_record qualify source_url is null or content_hash is null or row_number() over (partition by source_url, content_hash order by created_at, {_ID.format('id')}) = 1",
+    "source_guard": f"""
+with s as (select {_ID.format('id')} as id, source_url, content_hash, created_at, coalesce(lower(trim(source_type)) like '%director%', false) as listed from source_record)
+select id from s where not listed and (source_url is null or content_hash is null or not exists (select 1 from s h where h.listed and h.source_url = s.source_url and h.content_hash = s.content_hash))
+qualify source_url is null or content_hash is null or row_number() over (partition by source_url, content_hash order by created_at, id) = 1""",
     "upsert_names": "select min(trim(owner_name)) as name from roster_center where trim(owner_name) <> '' and lower(trim(owner_name)) not in (select lower(trim(n)) from (select unnest([name, trade_name]) as n from owner_entity) where n is not null) group by lower(trim(owner_name))",
     "missing_sources": f"select distinct key from ({_BRIDGE.format(_ID.format('id'), 'clinic')}) where key not in (select {_ID.format('id')} from source_record)",
     "latest_by_source": f"select source_url, arg_max({_ID.format('id')}, (fetched_at, {_ID.format('id')})) as id from source_record group by 1",

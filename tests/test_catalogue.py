@@ -2,10 +2,10 @@
 
 import pytest
 
-from kinlattice.plans import figures, pipeline, reports, resolution
+from kinlattice.plans import examples, figures, pipeline, reports, resolution
 from tests.conftest import DATA, same_rows
 
-QUERIES = {k: (f, c.ORACLE.get(k)) for c in (figures, resolution, pipeline, reports) for k, f in c.QUERIES.items()}
+QUERIES = {k: (f, c.ORACLE.get(k)) for c in (examples, figures, resolution, pipeline, reports) for k, f in c.QUERIES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
