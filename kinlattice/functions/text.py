@@ -37,7 +37,7 @@ def unaccent(c: Column) -> Column:
 
 def blankless(c: Column) -> Column:
     """STR-01: lower case letters and digits only; null is ''."""
-    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]+", "")
+    return F.coalesce(F.regexp_replace(F.lower(c), "[^a-z0-9]+", ""), F.lit(""))
 
 
 #: Fixed values (STR-03): words that say nothing about which chain a legal name belongs to.

@@ -19,13 +19,15 @@ def _universe(spark, root) -> DataFrame:
     """Registry sites: stem, street, ZIP and state.
 
     Deliveries repeat most rows; they are made distinct before any text is canonicalised.
+    The stem depends on the count, which keeps the optimiser from moving its filter, and
+    with it the work of canonicalising, to the rows before they are distinct.
     """
-    reg = table(spark, root, "registry_snapshot").where(F.col("address_line1").rlike("[A-Za-z0-9]")).select("raw_name", "address_line1", "zip", "state").distinct()
-    rows = reg.select(
-        text.chain_stem(F.col("raw_name")).alias("stem"), address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5"),
+    keys = ["raw_name", "address_line1", "zip", "state"]
+    reg = table(spark, root, "registry_snapshot").where(F.col("address_line1").rlike("[A-Za-z0-9]")).groupBy(*keys).agg(F.count("*").alias("n"))
+    return reg.select(
+        F.when(F.col("n") > 0, text.chain_stem(F.col("raw_name"))).alias("stem"), address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5"),
         F.nullif(F.upper(F.substring(F.trim("state"), 1, 2)), F.lit("")).alias("state"),
-    ).where("length(stem) >= 6")
-    return rows  # a line with a letter or digit has a street key, so no filter repeats that expression
+    ).where("length(stem) >= 6")  # a line with a letter or digit has a street key, so no filter repeats that expression
 
 
 def _tracked(spark, root) -> DataFrame:

@@ -197,11 +197,11 @@ def market_share_visible(spark, root):
     the one written first, primary rows before secondary ones.
     """
     reg = table(spark, root, "registry_snapshot").where(F.col("address_line1").rlike("[A-Za-z0-9]"))
-    written = reg.select("raw_name", "address_line1", "zip", "state", F.lower(F.trim("location_kind")).alias("kind"), F.trim("snapshot_id").alias("snapshot_id")).groupBy("raw_name", "address_line1", "zip", "state", "kind").agg(F.min("snapshot_id").alias("first"))
+    written = reg.select("raw_name", "address_line1", "zip", "state", F.lower(F.trim("location_kind")).alias("kind"), F.trim("snapshot_id").alias("snapshot_id")).groupBy("raw_name", "address_line1", "zip", "state", "kind").agg(F.min("snapshot_id").alias("first"), F.count("*").alias("n"))
     rows = written.select(
-        text.chain_stem(F.col("raw_name")).alias("stem"), address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5"),
+        F.when(F.col("n") > 0, text.chain_stem(F.col("raw_name"))).alias("stem"), address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5"),
         F.nullif(F.upper(F.substring(F.trim("state"), 1, 2)), F.lit("")).alias("state"), (F.col("kind") != "primary").alias("later"), "first",
-    ).where("length(stem) >= 6 and state is not null")
+    ).where("length(stem) >= 6 and state is not null")  # after the count, see _universe
     sites = rows.groupBy("street", "zip5").agg(F.min(F.struct("later", "first", "state"))["state"].alias("state")).withColumn("building", address.building_key(F.col("street")))
     tracked = g._tracked(spark, root).withColumn("building", address.building_key(F.col("street")))
     seen = joins.two_tier(tracked, sites, ["street", "zip5"], ["building", "zip5"]).where("tier != 'none'").select(F.col("matched_street").alias("street"), F.col("matched_zip5").alias("zip5"), "is_private")

@@ -116,7 +116,8 @@ def corroborated(spark, root):
 
 def two_tier_visibility(spark, root):
     """J-18: clinics seen in the registry by exact place, else by the only unit of the building."""
-    reg = table(spark, root, "registry_snapshot").select("address_line1", "zip").distinct().select(address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5")).where("street != ''")
+    lines = table(spark, root, "registry_snapshot").where(F.col("address_line1").rlike("[A-Za-z0-9]")).select("address_line1", "zip").distinct()
+    reg = lines.select(address.street_key(F.col("address_line1")).alias("street"), address.zip5(F.col("zip")).alias("zip5"))
     universe = reg.withColumn("building", address.building_key(F.col("street")))
     rows = keyed_clinics(spark, root).where("street != ''").select("id", "street", "zip5", "building")
     return joins.two_tier(rows, universe, ["street", "zip5"], ["building", "zip5"]).select("id", "tier", "matched_street")
