@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinlattice.functions.text import canonical_id
-from kinlattice.runtime import adaptive, stage
+from kinlattice.runtime import adaptive, drop_stage, stage
 
 #: Bits of one stored word.
 WORD = 64
@@ -61,6 +61,8 @@ def orphans(refs: DataFrame, held: DataFrame) -> DataFrame:
     themselves meet only the decoded orphans, in a join that AQE broadcasts or splits.
     """
     adaptive(refs.sparkSession)
+    # Exploded and made canonical once; the distinct keys read three of its columns, the report all.
+    refs = stage(refs, "references")
     ever = F.lit("0000-00")
     cited = refs.select("parent", "ref_key", F.coalesce("period", F.lit("9999-99")).alias("period")).distinct()
     by_key = cited.select("parent", "ref_key", F.lit(False).alias("held"), F.lit(None).cast("timestamp_ntz").alias("created")).unionByName(
@@ -94,7 +96,9 @@ def orphans(refs: DataFrame, held: DataFrame) -> DataFrame:
     decoded = left.select("parent", "period", "word", "lost", "close", F.explode(F.sequence(F.lit(0), F.lit(WORD - 1))).alias("i")).where(at_bit("lost | close", "i")).select(
         "parent", "period", (F.col("word") * WORD + F.col("i")).alias("code"), at_bit("lost", "i").alias("lost")
     )
-    suspects = decoded.join(dictionary.select("parent", "ref_key", "code", "created"), ["parent", "code"]).select("parent", "ref_key", F.nullif("period", F.lit("9999-99")).alias("period"), "lost", "created")
+    found = decoded.join(dictionary.select("parent", "ref_key", "code", "created"), ["parent", "code"]).select("parent", "ref_key", F.nullif("period", F.lit("9999-99")).alias("period"), "lost", "created")
+    suspects = stage(found, "suspects")
+    drop_stage(dictionary)
     same = (F.col("r.parent") == F.col("s.parent")) & (F.col("r.ref_key") == F.col("s.ref_key")) & F.col("r.period").eqNullSafe(F.col("s.period"))
     return (
         refs.alias("r")
