@@ -48,6 +48,28 @@ def range_sorted(reduced: DataFrame, key: str, order: str) -> DataFrame:
     return reduced.repartitionByRange(F.col(key)).sortWithinPartitions(key, order)
 
 
+def keep(reduced: DataFrame, key: str, path: str) -> None:
+    """Writes one delivery (see :func:`one_per_key`), range-partitioned and sorted by key, to stay for the next one."""
+    range_sorted(reduced, key, key).write.mode("errorifexists").parquet(path)
+
+
+def between(old: DataFrame, new: DataFrame, key: str, values: Sequence[str]) -> DataFrame:
+    """``(key, change_kind, changed_columns)`` of two kept deliveries, read alone, whatever came before.
+
+    A full outer merge join walks both sides in key order with two pointers; keys are
+    unique in a delivery, so no key is hot. The same as :func:`changes` says of the later one.
+    """
+    met = old.select(key, F.col("_v").alias("_old")).hint("merge").join(new.select(key, F.col("_v").alias("_new")), key, "full")
+    differs = _differing(values, "_new", "_old")
+    kind = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(F.size(differs) > 0, "changed")
+    return met.select(key, kind.alias("change_kind"), F.when(kind == "changed", differs).otherwise(F.array().cast("array<string>")).alias("changed_columns")).where("change_kind is not null")
+
+
+def _differing(values: Sequence[str], a: str, b: str) -> Column:
+    """Names of the values that differ; null and null are equal."""
+    return F.filter(F.array(*[F.when(~F.col(f"{a}.{v}").eqNullSafe(F.col(f"{b}.{v}")), F.lit(v)) for v in values]), lambda x: x.isNotNull())
+
+
 def changes(rows: DataFrame, snapshot: str, key: str, latest: Column, values: Sequence[str]) -> DataFrame:
     """``(snapshot, key, change_kind, changed_columns)`` between consecutive deliveries.
 
@@ -65,7 +87,7 @@ def changes(rows: DataFrame, snapshot: str, key: str, latest: Column, values: Se
         key, snapshot, "next_snapshot", "ord", "_v",
         F.lag("ord").over(w).alias("_before"), F.lag("_v").over(w).alias("_old"), F.lead("ord").over(w).alias("_after"),
     )
-    differs = F.filter(F.array(*[F.when(~F.col(f"_v.{v}").eqNullSafe(F.col(f"_old.{v}")), F.lit(v)) for v in values]), lambda x: x.isNotNull())
+    differs = _differing(values, "_v", "_old")
     none = F.array().cast("array<string>")
     event = lambda when, kind, columns: F.struct(when.alias(snapshot), F.lit(kind).alias("change_kind"), columns.alias("changed_columns"))
     events = F.array(

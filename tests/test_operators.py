@@ -185,3 +185,78 @@ def test_stub_vectors_have_no_neighbours(spark):
 def test_zip_lookup(spark):
     points = spark.createDataFrame([("10001", 1.0, 2.0), ("10002", 3.0, 4.0)], "zip5 string, lat double, lng double")
     assert rows(joins.lookup_or_area(spark.createDataFrame([("10001",), ("10099",), ("99999",), (None,)], "zip5 string"), points)) == sorted([("10001", 1.0, 2.0), ("10099", 2.0, 3.0), ("99999", None, None), (None, None, None)], key=repr)
+
+
+def test_top_k_of_text_ids_ties_floors_and_lengths(spark):
+    e = [("b", [1.0, 0.0]), ("a", [2.0, 0.0]), ("c", [0.0, 1.0]), ("z", [0.0, 0.0]), ("n", None), ("l", [1.0, 0.0, 0.0]), (None, [1.0, 0.0])]
+    ents = spark.createDataFrame([(i, v, "x", "clash") for i, v in e], "entity_id string, embedding array<float>, tag string, _v string").drop("_v")
+    q = spark.createDataFrame([("a", [1.0, 0.0], "x"), ("q", [1.0, 1.0], "y"), ("o", None, "x"), ("zero", [0.0, 0.0], "x")], "query_id string, embedding array<float>, tag string")
+    got = [tuple(r) for r in vectors.top_k(q, ents, 2).orderBy("query_id", "rank").collect()]
+    assert got == [("a", "b", 1.0, 1), ("a", "c", 0.0, 2), ("q", "a", 0.707107, 1), ("q", "b", 0.707107, 2)]
+    assert [r["entity_id"] for r in vectors.top_k(q, ents, 2, floor=0.5).where("query_id = 'a'").collect()] == ["b"]
+    assert {r["query_id"] for r in vectors.top_k(q, ents, 2, tag="tag").collect()} == {"a"}
+    assert vectors.top_k(q.limit(0), ents, 2).count() == 0 and vectors.top_k(q, ents.limit(0), 2).count() == 0
+
+
+def test_top_k_against_brute_force_in_blocks(spark, monkeypatch):
+    import random
+
+    rnd = random.Random(3)
+    v = {i: [rnd.choice([-1.0, 0.0, 1.0, 2.0]) for _ in range(4)] for i in range(120)}
+    monkeypatch.setattr(vectors, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(vectors, "CELLS", 50)
+    ents = spark.createDataFrame(list(v.items()), "entity_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in vectors.top_k(spark.createDataFrame([(i, v[i]) for i in range(20)], "query_id long, embedding array<double>"), ents, 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["entity_id"], r["similarity"]))
+    size = lambda a: sum(x * x for x in a) ** 0.5
+    for q in range(20):
+        if size(v[q]) == 0:
+            assert q not in got
+            continue
+        want = sorted((-round(sum(a * b for a, b in zip(v[q], w)) / size(v[q]) / size(w), 6), i) for i, w in v.items() if i != q and size(w) > 0)[:5]
+        assert [(-s, i) for _, i, s in sorted(got[q])] == [(s, i) for s, i in want]
+
+
+def test_intake_counts_every_row_once(spark):
+    df = spark.createDataFrame([("s", "a", None), ("s", "a", None), ("s", "b", "x"), ("t", None, None), (None, "a", "x")], "source string, name string, line string")
+    got = {r["source"]: tuple(r)[1:] for r in metrics.intake(df.withColumnRenamed("source", "src"), "src", F.col("name").isNull(), ["name", "line"]).collect()}
+    assert got == {"s": (3, 2, 1, 0), "t": (1, 0, 0, 1), None: (1, 1, 0, 0), "all": (5, 3, 1, 1)}
+
+
+def test_recall_and_most_common(spark):
+    cases = spark.createDataFrame([("a", "b"), ("a", "b"), ("c", "d")], "a string, b string")
+    found = spark.createDataFrame([("m", "a", "b"), ("m", "x", "y"), ("n", "c", "d"), ("n", "a", "b")], "matcher string, a string, b string")
+    assert {r["matcher"]: (r["n"], r["k"]) for r in metrics.recall(cases, found, ["a", "b"], "matcher").collect()} == {"m": (2, 1), "n": (2, 2)}
+    assert metrics.recall(cases.limit(0), found, ["a", "b"], "matcher").count() == 0
+    df = spark.createDataFrame([("x",), ("y",), ("y",), ("a",), (None,)], "v string")
+    assert [(r["v"], r["place"]) for r in metrics.most_common(df.where("v is not null"), "v", 2).orderBy("place").collect()] == [("y", 1), ("a", 2)]
+
+
+def test_covered_platforms_need_operators(spark):
+    owners = spark.createDataFrame([("o1",)], "owner string")
+    p = lambda *rows: spark.createDataFrame(list(rows), "name string, status string, owners array<string>")
+    guards.require_covered(p(("a", "covered", ["o1"]), ("b", "blocked", None)), owners, "name", "status", "owners", "owner")
+    for bad in (("a", "covered", None), ("a", "covered", []), ("a", "covered", ["gone"])):
+        with pytest.raises(ValueError):
+            guards.require_covered(p(bad), owners, "name", "status", "owners", "owner")
+
+
+def test_quarantine_rules_in_order(spark):
+    rows = [("1", True, ["f"], "unclear", True), ("2", False, ["f"], "unclear", True), ("3", None, [], " UNCLEAR ", True), ("4", None, None, "disagree", True), ("5", None, None, "disagree", None), ("6", None, None, None, None)]
+    df = spark.createDataFrame([(*r, "clinic_to_owner", 0.9) for r in rows], "id string, c boolean, flags array<string>, label string, x boolean, claim_type string, confidence_score double")
+    got = {r["id"]: r["deciding_rule"] for r in claims.decisions(df, {"clinic_to_owner": 0.8}, claims.quarantine_rules("c", "flags", "label", "x")).collect()}
+    assert got == {"1": "sources_contradict", "2": "llm_flag", "3": "reviewer_unclear", "4": "external_challenge", "5": "clinic_to_owner:floor=0.80", "6": "clinic_to_owner:floor=0.80"}
+
+
+def test_kept_deliveries_give_the_same_changes(spark, tmp_path):
+    rnd = random.Random(8)
+    data = [(str(n), f"k{rnd.randrange(40):02d}", rnd.choice([None, "2020-01-01", "2021-01-01"]), rnd.choice([None, "x", "y"]), 0) for n in (1, 2) for _ in range(60)]
+    df = spark.createDataFrame(data, SNAP)
+    for n in ("1", "2"):
+        snapshots.keep(snapshots.one_per_key(df.where(F.col("s") == n), "s", "k", F.col("d"), ["v", "d"]), "k", str(tmp_path / n))
+    old, new = (spark.read.parquet(str(tmp_path / n)) for n in ("1", "2"))
+    got = snapshots.between(old, new, "k", ["v", "d"])
+    assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == rows(snapshots.changes(df, "s", "k", F.col("d"), ["v", "d"]).drop("s"))
+    assert rows(snapshots.between(old.limit(0), new, "k", ["v", "d"]).select("change_kind").distinct()) == [("added",)]
