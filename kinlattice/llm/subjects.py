@@ -25,8 +25,9 @@ if TYPE_CHECKING:
 
 #: Language codes that say nothing.
 NO_LANGUAGE = ("", "und", "mul", "zxx", "mis")
-#: Terms by which languages are told apart: the most widespread ones of each.
-LANGUAGE_TERMS = 1000
+#: Languages, the most frequent codes, and the terms by which they are told apart: the most
+#: widespread ones of each. Documents of other codes are told to be in the likeliest of these.
+LANGUAGES, LANGUAGE_TERMS = 32, 1000
 #: Columns of a language's space: one for each of its most widespread terms that are in at
 #: least MIN_DF documents; all other terms share the hashed columns, so that none is left out.
 TERMS, MIN_DF, SHARED = 4096, 5, 1024
@@ -335,8 +336,8 @@ def subject_sentences(docs: DataFrame, seeds: DataFrame, areas: DataFrame, doc:
 
     ``seeds``: doc_id and subject by hand, in any case, some of them wrong; ``areas``:
     the subjects there are; ``lang`` names a column of language codes (null or wrong in
-    places; None for one language), from which languages are learned and told anew for
-    every document. Centroids begin at the mean of a subject's labelled documents, first
+    places; None for one language), of which the most frequent LANGUAGES are learned and
+    told anew for every document. Centroids begin at the mean of a subject's labelled documents, first
     learn from the sentences of labelled documents that agree with a label, then from
     all sentences nearest to them, and end as they are after REFINEMENTS rounds over all
     documents. A sentence is on its nearest subject if their cosine passes a threshold
@@ -350,9 +351,9 @@ def subject_sentences(docs: DataFrame, seeds: DataFrame, areas: DataFrame, doc:
     told = stage(raw.mapInArrow(_split, "doc_id bigint, label string, words array<bigint>, lens array<int>"), "told")
 
     by_label = stage(_document_counts(told, lambda b: b.column("label").to_pylist()).where("lang != ''"), "by_label")
-    sizes = {r["lang"]: r["n"] for r in by_label.where("term is null").collect()}  # one row per language
+    sizes = {r["lang"]: r["n"] for r in by_label.where("term is null").orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     counts: dict[str, dict[int, int]] = {k: {} for k in sizes}
-    for r in _widespread(by_label, LANGUAGE_TERMS).collect():  # LANGUAGE_TERMS a language
+    for r in _widespread(by_label.where(F.col("lang").isin(*sizes)), LANGUAGE_TERMS).collect():  # LANGUAGE_TERMS a language
         counts[r["lang"]][r["term"]] = r["n"]
     drop_stage(by_label)
     languages = Languages(sorted(sizes) or [""], counts or {"": {}}, sizes or {"": 1})

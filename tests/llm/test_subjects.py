@@ -34,8 +34,9 @@ def test_subjects(spark):
     assert subjects.subjects(df, none, areas).count() == 0 and subjects.subjects(df.limit(0), none, areas).count() == 0
 
 
-def test_languages_are_learned_from_untidy_codes(spark):
-    """Three languages, a tenth of the codes wrong or missing: every document gets the subjects of its own."""
+def test_languages_are_learned_from_untidy_codes(spark, monkeypatch):
+    """Three languages, a tenth of the codes wrong, missing or of no language: every document gets the subjects of its own."""
+    monkeypatch.setattr(subjects, "LANGUAGES", 3)
     rnd = random.Random(6)
     said = {"en": ("the", "was", "with"), "xx": ("zal", "mir", "oko"), "yy": ("teh", "pun", "wak")}
     docs, truth, seeds = [], {}, []
@@ -46,7 +47,7 @@ def test_languages_are_learned_from_untidy_codes(spark):
         sents = [f"{a} {rnd.choice(w)}{own} {b} {rnd.choice(w)}{own} {c} {rnd.choice(w)}{own}." for t, w in THEMES.items() for _ in range(n[t])]
         sents += [f"{a} filler{chr(97 + rnd.randrange(26))} {b} filler{chr(97 + rnd.randrange(26))} {c} other." for _ in range(4)]
         rnd.shuffle(sents)
-        code = rnd.choice([None, "und", "en", "yy"]) if rnd.random() < 0.1 else rnd.choice([own, own.upper(), f" {own}-AB"])
+        code = rnd.choice([None, "und", "en", "yy", f"junk{chr(97 + d % 26)}"]) if rnd.random() < 0.1 else rnd.choice([own, own.upper(), f" {own}-AB"])
         docs.append((d, " ".join(sents), code))
         truth[d] = {t for t in THEMES if n[t]}
         seeds += [(d, t) for t in truth[d] if d < 200]
