@@ -20,14 +20,18 @@ def quotas(sizes: dict[str, int], n: int) -> dict[str, int]:
     return {k: min(v, sizes[k]) for k, v in out.items()}
 
 
-def stratified(rows: DataFrame, stratum: Column, n: int, row: str, seed: int) -> DataFrame:
+def stratified(rows: DataFrame, stratum: Column, n: int, row: str, seed: int, most_strata: int = 10_000) -> DataFrame:
     """SMP-01/02: about ``n`` rows, each stratum in proportion; null strata are "unknown".
 
-    Only the sizes of strata come to the driver. Ranking has a group limit, so a
+    Only the sizes of strata come to the driver, and more than ``most_strata`` of them
+    are refused: a column with more values is no stratum. Ranking has a group limit, so a
     stratum with most of the rows sends at most ``n`` of them from each task.
     """
     named = rows.withColumn("stratum", F.coalesce(stratum, F.lit("unknown")))
-    quota = quotas({r["stratum"]: r["n"] for r in named.groupBy("stratum").agg(F.count("*").alias("n")).collect()}, n)
+    sizes = {r["stratum"]: r["n"] for r in named.groupBy("stratum").agg(F.count("*").alias("n")).limit(most_strata + 1).collect()}
+    if len(sizes) > most_strata:
+        raise ValueError(f"more than {most_strata} strata")
+    quota = quotas(sizes, n)
     most = F.lit(0)
     for k, v in quota.items():
         most = F.when(F.col("stratum") == k, v).otherwise(most)

@@ -260,3 +260,10 @@ def test_kept_deliveries_give_the_same_changes(spark, tmp_path):
     assert "SortMergeJoin" in got._jdf.queryExecution().executedPlan().toString()
     assert rows(got) == rows(snapshots.changes(df, "s", "k", F.col("d"), ["v", "d"]).drop("s"))
     assert rows(snapshots.between(old.limit(0), new, "k", ["v", "d"]).select("change_kind").distinct()) == [("added",)]
+
+
+def test_too_many_strata_are_refused(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("id"))
+    with pytest.raises(ValueError):
+        sampling.stratified(df, F.col("id"), 5, "id", 1, most_strata=20)
+    assert sampling.stratified(df, F.lit("a"), 5, "id", 1, most_strata=20).count() == 5
