@@ -52,14 +52,20 @@ def verified(scored: DataFrame) -> DataFrame:
 def chains(first: DataFrame, second: DataFrame) -> DataFrame:
     """ER-12, AGG-27, WIN-05: the best chain of each site.
 
-    ``first``: claim1, site, owner, c1; ``second``: claim2, owner, parent, c2; live and
+    ``first``: site, owner, c1; ``second``: owner, parent, c2; live and
     trusted edges only. A chain is as sure as its weakest link, the surest wins, an
     incomplete one too if it is surer; an owner with a second hop gives complete
-    chains only. Ties: the surer first hop, then second hop, then the least ids.
+    chains only. Ties: the surer first hop, then second hop, then the least ids; claims
+    that still tie say the same chain, so theirs are not carried along.
+
+    Which second hop suits a first one best doesn't depend on it: the surest of the
+    owner, or one of unknown confidence. So an owner keeps two at most before the join,
+    and rows grow with the first hops, not with first times second hops of an owner.
     """
-    walked = first.join(second, "owner", "left").withColumns({"confidence": F.least("c1", F.coalesce("c2", "c1")), "complete": F.col("parent").isNotNull()})
-    order = [F.desc("confidence"), F.desc("c1"), F.col("c2").desc_nulls_last(), "owner", F.col("parent").asc_nulls_last(), "claim1", F.col("claim2").asc_nulls_last()]
-    return best(walked, ["site"], [F.col(o) if isinstance(o, str) else o for o in order]).select("site", "owner", "parent", F.round("confidence", 6).alias("confidence"), "complete")
+    hops = best(second.select("owner", "parent", "c2", F.col("c2").isNull().alias("_unknown")), ["owner", "_unknown"], [F.desc("c2"), F.col("parent").asc_nulls_last()])
+    walked = first.select("site", "owner", "c1").join(hops.drop("_unknown"), "owner", "left").withColumns({"confidence": F.least("c1", F.coalesce("c2", "c1")), "complete": F.col("parent").isNotNull()})
+    order = [F.desc("confidence"), F.desc("c1"), F.col("c2").desc_nulls_last(), F.col("owner"), F.col("parent").asc_nulls_last()]
+    return best(walked, ["site"], order).select("site", "owner", "parent", F.round("confidence", 6).alias("confidence"), "complete")
 
 
 def decisions(claims: DataFrame, floors: dict[str, float], rules: Sequence[tuple[str, Column]]) -> DataFrame:

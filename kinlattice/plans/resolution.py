@@ -166,14 +166,19 @@ def parent_links(spark, root):
     return links.join(o, "owner_id").join(p, "parent_id").select("owner_id", "parent_id", "operator", "parent")
 
 
-def _edges(spark, root, kind: str, a: str, b: str, n: int) -> DataFrame:
-    live = _claims(spark, root).where((F.col("claim_type") == kind) & F.col("superseded_by").isNull() & F.col("confidence_method").isin(*claims.TRUSTED))
-    return live.select(F.col("id").alias(f"claim{n}"), text.canonical_id(F.col(a)).alias({1: "site", 2: "owner"}[n]), text.canonical_id(F.col(b)).alias({1: "owner", 2: "parent"}[n]), F.coalesce("confidence_score", F.lit(0.0)).alias(f"c{n}")).dropna()
+def _edges(spark, root) -> DataFrame:
+    """``kind, far, owner, c``: live and trusted claims with the end that is not the owner. Both kinds have one plan, so the exchange of the claims is reused."""
+    live = _claims(spark, root).where(F.col("superseded_by").isNull() & F.col("confidence_method").isin(*claims.TRUSTED))
+    far = F.when(F.col("claim_type") == "clinic_to_owner", F.col("clinic_id")).when(F.col("claim_type") == "owner_to_pe_firm", F.col("parent_pe_firm_id"))
+    return live.select(F.col("claim_type").alias("kind"), text.canonical_id(far).alias("far"), text.canonical_id(F.col("owner_entity_id")).alias("owner"), F.coalesce("confidence_score", F.lit(0.0)).alias("c")).dropna(subset=["far", "owner"])
 
 
 def best_chains(spark, root):
     """ER-12, AGG-27, WIN-05, Q-13: the best chain of each clinic."""
-    return claims.chains(_edges(spark, root, "clinic_to_owner", "clinic_id", "owner_entity_id", 1), _edges(spark, root, "owner_to_pe_firm", "owner_entity_id", "parent_pe_firm_id", 2))
+    edges = _edges(spark, root)
+    first = edges.where("kind = 'clinic_to_owner'").select(F.col("far").alias("site"), "owner", F.col("c").alias("c1"))
+    second = edges.where("kind = 'owner_to_pe_firm'").select("owner", F.col("far").alias("parent"), F.col("c").alias("c2"))
+    return claims.chains(first, second)
 
 
 def source_bridge(spark, root):

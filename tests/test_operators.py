@@ -110,6 +110,60 @@ def test_chains(spark, first, second, want):
     assert (r["confidence"], r["complete"]) == want
 
 
+def joined_rows(plan) -> int:
+    """Most rows that a join of an executed plan gave."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return joined_rows(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return joined_rows(plan.plan())
+    below = [joined_rows(plan.children().apply(i)) for i in range(plan.children().size())]
+    return max([0, *below, *([plan.metrics().apply("numOutputRows").value()] if "Join" in kind else [])])
+
+
+def test_chains_of_a_hot_owner(spark):
+    """Every chain of an owner compared in plain Python; the join gives two rows a first hop at most."""
+    first = [(f"s{i % 40}", "hot" if i % 7 else "other", None if i % 31 == 3 else i * 37 % 10 / 10) for i in range(400)] + [("lone", "none", 0.4)]
+    second = [("hot", f"p{i * 13 % 50:02}", i * 7 % 8 / 10) for i in range(300)] + [("hot", "p99", None), ("hot", "p98", None), ("other", "p1", None), ("other", "p0", 0.35)]
+    low = lambda x: -1.0 if x is None else x
+    walked = {}
+    for site, owner, c1 in first:
+        for parent, c2 in [(p, c) for o, p, c in second if o == owner] or [(None, None)]:
+            sure = min((c for c in (c1, c1 if c2 is None else c2) if c is not None), default=None)
+            walked.setdefault(site, []).append(((-low(sure), -low(c1), -low(c2), owner, parent or "~"), (owner, parent, sure, parent is not None)))
+    a = spark.createDataFrame([(f"c{i}", *x) for i, x in enumerate(first)], "claim1 string, site string, owner string, c1 double")
+    b = spark.createDataFrame([(f"d{i}", *x) for i, x in enumerate(second)], "claim2 string, owner string, parent string, c2 double")
+    df = claims.chains(a, b)
+    assert {r["site"]: tuple(r)[1:] for r in df.collect()} == {k: min(v, key=lambda x: x[0])[1] for k, v in walked.items()}
+    assert 0 < joined_rows(df._jdf.queryExecution().executedPlan()) <= 2 * len(first)
+
+
+def test_best_chains_of_odd_claims(spark, tmp_path):
+    """Claims without an id and without a number count as in SQL; the claims are read once."""
+    import duckdb
+
+    from kinlattice.plans import resolution
+    from tests.conftest import same_rows
+
+    day = dt.datetime(2025, 1, 1)
+    made = [
+        (None, "clinic_to_owner", "S1", " o1", None, 0.9, "exact_match", None, day), ("a", "clinic_to_owner", "s2", "o1", None, float("nan"), "exact_match", None, day),
+        ("b", "clinic_to_owner", "s3", "o2", None, None, "fuzzy_high", None, day), ("c", "owner_to_pe_firm", None, "O1", "p2", 0.8, "exact_match", None, day),
+        ("d", "owner_to_pe_firm", None, "o1", "p1", 0.8, "exact_match", None, day), ("e", "owner_to_pe_firm", None, "o1", "p0", 0.9, "fuzzy_low", None, day),
+        ("f", "clinic_to_owner", "s4", "o1", None, 0.7, "exact_match", "x", day), (" F", "clinic_to_owner", "s4", "o1", None, 0.7, "exact_match", None, day + dt.timedelta(1)),
+        ("g", "clinic_to_owner", "s5", "", None, 0.7, "exact_match", None, day), ("h", "owner_to_pe_firm", "s6", "o1", " ", 1.0, "exact_match", None, day),
+    ]
+    schema = "id string, claim_type string, clinic_id string, owner_entity_id string, parent_pe_firm_id string, confidence_score double, confidence_method string, superseded_by string, created_at timestamp"
+    path = f"{tmp_path}/resolution_claim.parquet"
+    spark.createDataFrame(made, schema).coalesce(1).write.parquet(path)
+    duck = duckdb.connect()
+    duck.execute(f"create view resolution_claim as select * from read_parquet('{path}/*.parquet')")
+    df = resolution.best_chains(spark, str(tmp_path))
+    same_rows(df, duck.execute(resolution.ORACLE["best_chains"]).df())
+    df.collect()
+    assert df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("FileScan") == 1
+
+
 def test_decisions(spark):
     df = spark.createDataFrame([("a", "x", 0.80, None), ("b", "x", 0.79, []), ("c", "x", 0.99, ["f"]), ("d", "other", 0.99, None), ("e", "x", None, None)], "id string, claim_type string, confidence_score double, flags array<string>")
     got = claims.decisions(df, {"x": 0.8}, [("flagged", F.size("flags") > 0)])
